@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 #: Settings that every entry point relies on.  A cluster session keeps its own values for the rest.
@@ -22,3 +25,13 @@ def local_session(cores: int = 8, partitions: int | None = None, **conf: str) ->
         "spark.ui.showConsoleProgress": "false",
     } | conf
     return SparkSession.builder.master(f"local[{cores}]").appName("daystack").config(map=settings).getOrCreate()
+
+
+def share(spark: SparkSession) -> SparkSession:
+    """Put this package on the Python path of the workers, for where it is not installed on them."""
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    have = environment.get("PYTHONPATH", "")
+    if root not in have.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, have) if x)
+    return spark
