@@ -8,11 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daystack.llm.common import load
 from daystack.llm.exact_dedup import exact_dedup
+from daystack.llm.mixing import mix
+from daystack.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_path() -> str:
+    """The vocabulary of the fixed results; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(load(spark, sf_dir, "documents"), tokenizer_path())
+
+
+QUERIES["op1_best_fit_packing"] = op1_best_fit_packing
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(load(spark, sf_dir, "documents"))
 
@@ -23,3 +39,10 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(load(spark, sf_dir, "documents"))
+
+
+QUERIES["op5_source_mixing"] = op5_source_mixing

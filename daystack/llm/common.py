@@ -49,10 +49,12 @@ def remainder(modulus: int, of: str = "doc_id"):
 def rank_rows(df: DataFrame, group: list[str], order: list[str], name: str = "rank") -> DataFrame:
     """``df`` and each row's place (long, from 0) in its group, by ``order``.
 
-    ``group`` are integer columns without nulls.  Rows are dealt by ranges of (group, order), so a
+    ``group`` are integer columns without nulls; none: all rows are one group.  Rows are dealt by ranges of (group, order), so a
     group of any size spreads over many tasks; from each task the driver gets the counts of its first
     and last group only.  ``order`` should tell rows apart: those that it doesn't share a range.
     """
+    if not group:
+        return rank_rows(df.withColumn("_all", F.lit(0)), ["_all"], order, name).drop("_all")
     kept = cut(df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order))
 
     def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
