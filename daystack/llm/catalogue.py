@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daystack.llm.common import load
 from daystack.llm.exact_dedup import exact_dedup
+from daystack.llm.jaccard_join import jaccard_components
 from daystack.llm.mixing import mix
 from daystack.llm.packing import pack
 
@@ -46,3 +47,30 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_source_mixing"] = op5_source_mixing
+
+
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(load(spark, sf_dir, "documents"))
+
+
+QUERIES["op9_ngram_jaccard_join"] = op9_ngram_jaccard_join
+ORACLES["op9_ngram_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))
+                             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * i >= 75 * (p.n + q.n - i)
+), both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x
+), least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least ON least.x = d.doc_id
+"""
