@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from daystack.llm.common import load
+from daystack.llm import language_id
 from daystack.llm.exact_dedup import exact_dedup
 from daystack.llm.jaccard_join import jaccard_components
 from daystack.llm.mixing import mix
 from daystack.llm.packing import pack
+from daystack.llm.pii import personal_data_digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,3 +76,18 @@ WITH RECURSIVE words AS (
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least ON least.x = d.doc_id
 """
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.train(docs, ~language_id.held_out()))
+
+
+QUERIES["op7_language_id"] = op7_language_id
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_digest(load(spark, sf_dir, "documents"))
+
+
+QUERIES["op8_pii"] = op8_pii

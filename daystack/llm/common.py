@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +46,9 @@ def remainder(modulus: int, of: str = "doc_id"):
     return F.crc32(F.col(of).cast("string").cast("binary")) % modulus
 
 
+ENDS = pa.schema([("part", pa.int32()), ("first", pa.list_(pa.int64())), ("n_first", pa.int64()), ("last", pa.list_(pa.int64())), ("n_last", pa.int64())])
+
+
 def rank_rows(df: DataFrame, group: list[str], order: list[str], name: str = "rank") -> DataFrame:
     """``df`` and each row's place (long, from 0) in its group, by ``order``.
 
@@ -57,19 +60,20 @@ def rank_rows(df: DataFrame, group: list[str], order: list[str], name: str = "ra
         return rank_rows(df.withColumn("_all", F.lit(0)), ["_all"], order, name).drop("_all")
     kept = cut(df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order))
 
-    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keys_of(b: pa.RecordBatch) -> np.ndarray:
+        return np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in group], axis=1)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = last = None
         n_first = n_last = 0
         for b in batches:
-            keys = b[group].to_numpy(np.int64)
+            keys = keys_of(b)
             if not len(keys):
                 continue
             moved = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             cuts = [0, *moved.tolist(), len(keys)]
-            for k, (lo, hi) in ((0, (cuts[0], cuts[1])), (1, (cuts[-2], cuts[-1]))):
+            for lo, hi in {(cuts[0], cuts[1]): 0, (cuts[-2], cuts[-1]): 0}:
                 key = keys[lo].tolist()
-                if k and len(cuts) == 2:
-                    continue
                 if first is None:
                     first, last = key, key
                     n_first = n_last = hi - lo
@@ -80,9 +84,9 @@ def rank_rows(df: DataFrame, group: list[str], order: list[str], name: str = "ra
                 else:
                     last, n_last = key, hi - lo
         if first is not None:
-            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "first": [first], "n_first": [n_first], "last": [last], "n_last": [n_last]})
+            yield pa.RecordBatch.from_pylist([{"part": TaskContext.get().partitionId(), "first": first, "n_first": n_first, "last": last, "n_last": n_last}], ENDS)
 
-    found = kept.select(*group).mapInPandas(ends, "part int, first array<long>, n_first long, last array<long>, n_last long").collect()
+    found = kept.select(*group).mapInArrow(ends, "part int, first array<long>, n_first long, last array<long>, n_last long").collect()
     before: dict[int, int] = {}
     open_key, open_n = None, 0
     for r in sorted(found, key=lambda r: r["part"]):
@@ -90,10 +94,10 @@ def rank_rows(df: DataFrame, group: list[str], order: list[str], name: str = "ra
         open_n = r["n_last"] + (before[r["part"]] if r["first"] == r["last"] else 0)
         open_key = r["last"]
 
-    def ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, seen = None, before.get(TaskContext.get().partitionId(), 0)
         for b in batches:
-            keys = b[group].to_numpy(np.int64)
+            keys = keys_of(b)
             if not len(keys):
                 continue
             at = np.arange(len(keys))
@@ -102,10 +106,10 @@ def rank_rows(df: DataFrame, group: list[str], order: list[str], name: str = "ra
             if key is None or keys[0].tolist() == key:
                 rank += np.where(np.cumsum(start) == 1, seen, 0)
             key, seen = keys[-1].tolist(), int(rank[-1]) + 1
-            yield b.assign(**{name: rank.astype(np.int64)})
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rank.astype(np.int64))], [*b.schema.names, name])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInPandas(ranked, f"{schema}, `{name}` long")
+    return kept.mapInArrow(ranked, f"{schema}, `{name}` long")
 
 
 #: A lookup table's hot rows are those that stand for at least this share of all rows, so there are at most 1000.

@@ -6,7 +6,7 @@ Each task then runs the grace hash join's build: rows go into an open-addressing
 complete contents; when the table would outgrow its memory, everything is dealt by the digest's next
 bits into spill files, and each of these is treated alike.
 
-Edge cases: a null text is an empty one; all empty texts are copies of each other; rows that share
+Edge cases: a null text is an empty one; a null doc_id is below all others; all empty texts are copies of each other; rows that share
 both doc_id and text are one document, so all of them are kept or dropped together; an empty table
 gives an empty result; other columns are ignored.
 """
@@ -31,6 +31,10 @@ MEMORY = 48 << 20
 FAN_BITS = 4
 
 
+def larger(a: int | None, b: int | None) -> int | None:
+    return b if a is None else a if b is None else max(a, b)
+
+
 def sha256(content: bytes) -> bytes:
     return hashlib.sha256(content).digest()
 
@@ -63,7 +67,7 @@ class ContentTable:
         at = key & mask
         while entry := int(self.slots[at]):
             if self.hashes[entry - 1] == key and self.contents[entry - 1] == content:
-                self.best[entry - 1] = max(self.best[entry - 1], doc_id)
+                self.best[entry - 1] = larger(self.best[entry - 1], doc_id)
                 self.sizes[entry - 1] += size
                 return
             at = (at + 1) & mask
@@ -144,7 +148,7 @@ def _combine(memory: int, digest: Callable[[bytes], bytes]):
                     held[text] = [doc_id, 1]
                     used += len(text)
                 else:
-                    have[0] = max(have[0], doc_id)
+                    have[0] = larger(have[0], doc_id)
                     have[1] += 1
             if used > memory:
                 yield from out()
@@ -198,10 +202,10 @@ def exact_dedup(docs: DataFrame, memory: int = MEMORY, digest: Callable[[bytes],
     if not shared.isEmpty():  # different texts with one digest: compare contents
         exact = keyed.join(shared.drop("digest"), F.col("text") == F.col("content"))
         out = out.unionByName(exact.select("doc_id", "text_sha256", "keep_id", "group_size"))
-    return out.select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256")
+    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with all their columns, one document of each group of equal texts."""
     kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi")
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
