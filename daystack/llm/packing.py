@@ -13,12 +13,12 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -27,7 +27,7 @@ from daystack.llm.common import cut, rank_rows, texts
 CAPACITY = 4096
 END_ID = 1
 #: Words of which a worker remembers the ids.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 #: Branches at each depth of a filling; deeper levels take the largest that fits.
 BRANCHES = (4, 3, 2)
 #: Nodes that the search may visit for each number of sequences that it tries, for each length there is.
@@ -39,6 +39,16 @@ Pattern = tuple[int, ...]
 # ---------------------------------------------------------------- tokenising
 
 
+def byte_marks() -> dict[int, int]:
+    """The characters that byte-level vocabularies write for bytes: printable ones themselves, others from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
+
+
+BYTE_MARKS = byte_marks()
+
+
 class WordIds(dict):
     """Bytes of a word -> its ids as little-endian 32-bit numbers, encoded when first asked for.
 
@@ -53,6 +63,11 @@ class WordIds(dict):
         self.tokenizer = tokenizer
 
     def encode(self, word: bytes) -> bytes:
+        text = word.decode()
+        if text.isalpha() and max(text) <= "\xff":
+            # letters of one byte each in Latin-1 are composed as they are: only the merges are left to do
+            marked = text.lower().encode().decode("latin-1").translate(BYTE_MARKS)
+            return array("I", [t.id for t in self.tokenizer.model.tokenize(marked)]).tobytes()
         ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
         return np.asarray(ids, "<u4").tobytes()
 
@@ -328,13 +343,14 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Data
     keys, firsts, each, offsets, lengths = places(fill_sequences(counts, capacity))
     ranked = rank_rows(cuts, ["length"], ["doc_id", "piece", "ids_crc32"])
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not len(b):
+            if not b.num_rows:
                 continue
-            key = (b["length"].to_numpy() << 44) + b["rank"].to_numpy()
+            key = (b.column("length").to_numpy() << 44) + b.column("rank").to_numpy()
             run = np.searchsorted(keys, key, "right") - 1
             nth = key - keys[run]
-            yield b.drop(columns="rank").assign(sequence_id=firsts[run] + nth // each[run], offset=offsets[run] + nth % each[run] * lengths[run])
+            where = (pa.array(firsts[run] + nth // each[run]), pa.array(offsets[run] + nth % each[run] * lengths[run]))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *where], [*b.schema.names[:-1], "sequence_id", "offset"])
 
-    return ranked.mapInPandas(place, f"{PIECES}, sequence_id long, offset long")
+    return ranked.mapInArrow(place, f"{PIECES}, sequence_id long, offset long")
