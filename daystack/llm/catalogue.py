@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from daystack.llm.common import load
 from daystack.llm import language_id
 from daystack.llm.exact_dedup import exact_dedup
+from daystack.llm.fingerprint import fingerprint_edits
 from daystack.llm.jaccard_join import jaccard_components
 from daystack.llm.mixing import mix
 from daystack.llm.packing import pack
@@ -91,3 +92,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_pii"] = op8_pii
+
+
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(load(spark, sf_dir, "documents"))
+
+
+QUERIES["op10_fingerprint"] = op10_fingerprint
