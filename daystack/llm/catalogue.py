@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from daystack.llm.common import load
-from daystack.llm import language_id
+from daystack.llm import language_id, language_model
 from daystack.llm.exact_dedup import exact_dedup
 from daystack.llm.fingerprint import fingerprint_edits
 from daystack.llm.jaccard_join import jaccard_components
@@ -99,3 +99,10 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_fingerprint"] = op10_fingerprint
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(load(spark, sf_dir, "documents"))
+
+
+QUERIES["op6_lm_scoring"] = op6_lm_scoring
