@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daystack.llm.common import load
-from daystack.llm import language_id, language_model
+from daystack.llm import language_id, language_model, quality, toxicity
 from daystack.llm.exact_dedup import exact_dedup
 from daystack.llm.fingerprint import fingerprint_edits
 from daystack.llm.jaccard_join import jaccard_components
@@ -106,3 +107,22 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_lm_scoring"] = op6_lm_scoring
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, load(spark, sf_dir, "labels")))
+
+
+QUERIES["op2_toxicity"] = op2_toxicity
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites are sources, and their sections are languages, as the table has no addresses."""
+    docs = load(spark, sf_dir, "documents")
+    model = quality.train(docs, load(spark, sf_dir, "labels"))
+    sited = docs.select("doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path"))
+    return quality.classify(sited, model)
+
+
+QUERIES["op3_quality"] = op3_quality
