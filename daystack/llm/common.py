@@ -18,21 +18,27 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return share(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, so that lost executors don't bring it back.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's checkpoint folder, or ``spark.checkpoint.dir``.
 
-    The folder is the one in ``spark.checkpoint.dir``.  Where that is unset, local sessions get a
-    temporary folder; a cluster has no folder that all machines see, so there it is an error.
+    Where both are unset, local sessions get a temporary folder; a cluster has no folder that all
+    machines see, so there it is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-            folder = tempfile.mkdtemp(prefix="daystack-")
-        context.setCheckpointDir(folder)
+    if folder := context.getCheckpointDir():
+        return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="daystack-")
+    context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, so that lost executors don't bring it back."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -132,5 +132,5 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     """
     plan = mix(docs, **how).groupBy("doc_id").agg(F.max(F.when(F.col("size") == 0, 1).otherwise(F.col("copies"))).alias("_copies"))
     plan = plan.where("_copies > 0").withColumnRenamed("doc_id", "_doc")
-    out = docs.join(plan, F.col("doc_id") == F.col("_doc")).withColumn("_round", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    out = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_doc"))).withColumn("_round", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
     return out.select(*[docs[c] for c in docs.columns])
