@@ -1,10 +1,476 @@
-"""Query catalogue over the driver's tables: name -> callable, and name -> DuckDB SQL."""
+"""Query catalogue over the driver's tables: name -> callable, and name -> DuckDB SQL.
+
+The tables stand in for the engine's own inputs: documents for articles, labels for a classifier's
+answers, events for extracted payloads, polls of batches and token use, orders for batches and
+messages, conversations for responses.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from daystack.functions import pacing, payload, text
+from daystack.operators import articles as A
+from daystack.operators import batching, charts, daily, lifecycle, rates
+from daystack.providers import base
+from daystack.session import share
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return share(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# ---------------------------------------------------------------- stand-ins
+
+
+def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as JSON payloads: every fifth count has separators, every seventh is no number."""
+    e = table(spark, sf_dir, "events")
+    n = F.floor(F.col("value") * 100).cast("bigint")
+    count = F.when(F.col("event_id") % 7 == 0, F.lit('"about 5"')).when(F.col("event_id") % 5 == 0, F.concat(F.lit('"'), F.format_number(n, 0), F.lit('"'))).otherwise(n.cast("string"))
+    body = F.concat(F.lit('{"day": '), F.get_json_object("props", "$.k"), F.lit(', "pilgrim_count": '), F.coalesce(count, F.lit("null")), F.lit(', "other_metrics": {}}'))
+    return e.select(F.col("event_id").alias("seq"), F.date_format("ts", "yyyy").alias("year"), F.date_format("ts", "MM").alias("month"), body.alias("payload"))
+
+
+PAYLOADS = """
+WITH p AS (
+  SELECT event_id AS seq, strftime(ts, '%Y-%m-') AS period, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+         CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(floor(value * 100) AS BIGINT) END AS n FROM events
+), o AS (
+  SELECT seq, CASE WHEN k IS NULL OR NOT k BETWEEN 1 AND 31 THEN 'invalid_date' WHEN n IS NULL OR n < 0 THEN 'extracted_failed' ELSE 'extracted_success' END AS outcome,
+         period || lpad(CAST(k AS VARCHAR), 2, '0') AS date, n AS pilgrim_count FROM p
+), v AS (SELECT * FROM o WHERE outcome = 'extracted_success')
+"""
+
+
+def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.validated(payloads(spark, sf_dir)).where("outcome = 'extracted_success'").select("seq", "date", "pilgrim_count")
+
+
+def docs_as_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").cast("string").alias("article_id"), F.left("text", F.lit(80)).alias("title"), F.col("source").alias("link"), F.col("text").alias("content"), F.col("doc_id").alias("seq"), F.lit("2024").alias("year"), F.lit("01").alias("month"))
+
+
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """labels as a classifier's texts, with stray spaces and case."""
+    said = F.when(F.col("quality") == 1, " True\n").when(F.col("quality") == 0, "no")
+    return table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("article_id"), said.alias("text"))
+
+
+def order_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "in_progress").otherwise("validating")
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("batch_id"), status.alias("status"), F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("created_at"), (F.col("o_custkey") % 50).alias("total_requests"))
+
+
+ORDER_BATCHES = """
+WITH b AS (SELECT o_orderkey AS batch_id, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'in_progress' ELSE 'validating' END AS status,
+  epoch_us(o_orderdate) AS created_at, o_custkey % 50 AS total_requests FROM orders)
+"""
+
+
+def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as polls of a batch for each user: processed grows with purchases."""
+    from pyspark.sql import Window
+
+    by = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", "user_id", "ts", F.sum((F.col("event_type") == "purchase").cast("int")).over(by).alias("processed"))
+
+
+def order_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The highest order price of each day."""
+    o = table(spark, sf_dir, "orders")
+    return o.groupBy(F.to_date("o_orderdate").alias("date")).agg(F.max(F.floor("o_totalprice").cast("bigint")).alias("pilgrim_count"))
+
+
+ORDER_SERIES = "WITH s AS (SELECT CAST(o_orderdate AS DATE) AS date, max(CAST(floor(o_totalprice) AS BIGINT)) AS pilgrim_count FROM orders GROUP BY 1)"
+
+# ---------------------------------------------------------------- daily series
+
+
+@query(PAYLOADS + "SELECT date, pilgrim_count, seq FROM v QUALIFY row_number() OVER (PARTITION BY date ORDER BY pilgrim_count DESC, seq) = 1")
+def daily_max(spark, sf_dir):
+    return daily.daily_best(valid(spark, sf_dir)).select("date", "pilgrim_count", "seq")
+
+
+DISPLACED = (
+    PAYLOADS
+    + """, l AS (
+  SELECT *, coalesce(pilgrim_count > max(pilgrim_count) OVER (PARTITION BY date ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS leads FROM v
+), n AS (
+  SELECT *, min(CASE WHEN leads THEN seq END) OVER (PARTITION BY date ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next FROM l
+), d AS (
+  SELECT date, seq, pilgrim_count, CASE WHEN leads THEN 'replaced by higher pilgrim_count' ELSE 'lower pilgrim_count, existing kept' END AS reason,
+         CASE WHEN leads THEN next ELSE seq END AS displaced_at FROM n WHERE NOT leads OR next IS NOT NULL
+)
+"""
+)
+
+
+@query(DISPLACED + "SELECT * FROM d")
+def displaced_audit(spark, sf_dir):
+    return daily.displaced(valid(spark, sf_dir)).select("date", "seq", "pilgrim_count", "reason", "displaced_at")
+
+
+@query(DISPLACED + "SELECT date, string_agg(CAST(pilgrim_count AS VARCHAR), ',' ORDER BY displaced_at, seq) AS counts FROM d GROUP BY date")
+def displaced_order(spark, sf_dir):
+    lists = daily.displaced_lists(daily.displaced(valid(spark, sf_dir)), ["pilgrim_count"])
+    return lists.select("date", F.array_join(F.transform("displaced", lambda x: x["pilgrim_count"].cast("string")), ",").alias("counts"))
+
+
+@query(DISPLACED + "SELECT count(*) AS displaced, count(DISTINCT date) AS dates FROM d")
+def displaced_summary(spark, sf_dir):
+    return daily.displaced_summary(daily.displaced(valid(spark, sf_dir)))
+
+
+@query(PAYLOADS + "SELECT seq, outcome FROM o")
+def validation_outcomes(spark, sf_dir):
+    return daily.validated(payloads(spark, sf_dir)).select("seq", "outcome")
+
+
+@query(
+    PAYLOADS
+    + """SELECT (SELECT count(*) FROM documents) AS total_loaded, (SELECT count(*) FROM labels WHERE quality = 1) AS classified_true,
+  (SELECT count(*) FROM labels WHERE quality = 0) AS classified_false, count(*) FILTER (outcome = 'extracted_success') AS extracted_success,
+  count(*) FILTER (outcome = 'extracted_failed') AS extracted_failed, count(*) FILTER (outcome = 'invalid_date') AS invalid_date,
+  count(DISTINCT CASE WHEN outcome = 'extracted_success' THEN date END) AS final_records,
+  count(*) FILTER (outcome = 'extracted_success') * 100.0::DOUBLE / (SELECT count(*) FROM documents) AS success_rate FROM o"""
+)
+def run_metrics(spark, sf_dir):
+    out = A.counters(docs_as_articles(spark, sf_dir), A.classified(answers(spark, sf_dir)), daily.validated(payloads(spark, sf_dir)))
+    return out.withColumn("success_rate", F.col("success_rate").cast("double"))
+
+
+# ---------------------------------------------------------------- articles
+
+SAID = "WITH a AS (SELECT CAST(doc_id AS VARCHAR) AS article_id, quality FROM labels)"
+
+
+@query("SELECT CAST(d.doc_id AS VARCHAR) AS article_id, CASE quality WHEN 1 THEN 'true' WHEN 0 THEN 'false' ELSE 'failed' END AS label FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def classify_split(spark, sf_dir):
+    rows = docs_as_articles(spark, sf_dir).select("article_id").join(answers(spark, sf_dir), "article_id", "left")
+    return A.classified(rows).select("article_id", F.coalesce("label", F.lit("failed")).alias("label"))
+
+
+@query("SELECT CAST(l.doc_id AS VARCHAR) AS article_id, CASE quality WHEN 1 THEN 'true' WHEN 0 THEN 'false' END AS label, source AS link FROM labels l JOIN documents d ON d.doc_id = l.doc_id")
+def results_with_article(spark, sf_dir):
+    return A.with_article(A.classified(answers(spark, sf_dir)), docs_as_articles(spark, sf_dir)).select("article_id", "label", "link")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS article_id, text AS content FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def true_articles(spark, sf_dir):
+    said = A.classified(answers(spark, sf_dir)).where("label = 'true'")
+    return A.extraction_items(A.only(docs_as_articles(spark, sf_dir), said))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS article_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def unanswered_articles(spark, sf_dir):
+    return A.not_seen(docs_as_articles(spark, sf_dir), answers(spark, sf_dir)).select("article_id")
+
+
+@query("SELECT doc_id AS seq, md5(text) AS digest FROM documents QUALIFY row_number() OVER (PARTITION BY trim(text) ORDER BY doc_id) = 1")
+def first_wins_dedup(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), text.strip("text").alias("article_id"))
+    return A.first_wins(rows, "article_id", ["seq"]).select("seq", F.md5("article_id").alias("digest"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS article_id, '2024_01_' || doc_id AS key, length(text) AS n FROM documents WHERE doc_id % 3 <> 0")
+def article_filter(spark, sf_dir):
+    """Every third article is left with white space of all kinds; others get it around them."""
+    rows = docs_as_articles(spark, sf_dir)
+    blank, around = F.lit("\t 　\x1c "), F.lit(" \n")
+    rows = rows.withColumn("content", F.when(F.col("seq") % 3 == 0, blank).otherwise(F.concat(around, "content", around)))
+    return A.with_key(A.cleaned(rows)).select("article_id", "key", F.length("content").cast("bigint").alias("n"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS article_id, 'retry' AS origin FROM documents WHERE doc_id % 10 = 0 UNION ALL SELECT CAST(doc_id AS VARCHAR), 'directory' FROM documents WHERE doc_id % 10 <> 0")
+def retry_first(spark, sf_dir):
+    rows = docs_as_articles(spark, sf_dir).select("article_id", F.lit(1).alias("source_rank"), F.lit("b.csv").alias("file"), F.col("seq").alias("row_seq"), F.lit("directory").alias("origin"))
+    again = rows.where("row_seq % 10 = 0").withColumn("source_rank", F.lit(0)).withColumn("origin", F.lit("retry"))
+    return A.retry_then_directory(again, rows).select("article_id", "origin")
+
+
+# ---------------------------------------------------------------- tokens and batches
+
+BUDGET, OVERHEAD = 50_000, 75
+
+
+@query("SELECT doc_id AS seq, length(text) // 4 AS tokens, length(left(text, 400)) // 4 AS cut_tokens, length('Return JSON with day, pilgrim_count and other_metrics from this text, within 100 tokens.' || chr(10) || 'Text: ' || left(text, 400)) // 4 + 75 AS request_tokens FROM documents")
+def token_estimate(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    c = F.col("text")
+    return d.select(F.col("doc_id").alias("seq"), text.token_count(c).alias("tokens"), text.token_count(text.truncate_tokens(c, 100)).alias("cut_tokens"), text.request_tokens(text.extract_prompt(c, 100), OVERHEAD).alias("request_tokens"))
+
+
+def tokens_of(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), text.token_count(F.col("text")).alias("tokens"))
+
+
+BATCHES = f"""
+WITH RECURSIVE t AS (SELECT doc_id AS seq, length(text) // 4 AS tokens, row_number() OVER (ORDER BY doc_id) AS r FROM documents), b AS (
+  SELECT seq, tokens, r, 1::BIGINT AS batch_id, CASE WHEN tokens > {BUDGET} THEN -1 ELSE tokens END AS filled FROM t WHERE r = 1
+  UNION ALL
+  SELECT t.seq, t.tokens, t.r, CASE WHEN t.tokens > {BUDGET} OR filled < 0 OR filled + t.tokens > {BUDGET} THEN batch_id + 1 ELSE batch_id END,
+         CASE WHEN t.tokens > {BUDGET} THEN -1 WHEN filled < 0 OR filled + t.tokens > {BUDGET} THEN t.tokens ELSE filled + t.tokens END
+  FROM b JOIN t ON t.r = b.r + 1
+)
+"""
+
+
+@query(BATCHES + "SELECT seq, tokens, batch_id FROM b")
+def token_batches(spark, sf_dir):
+    return batching.token_batches(tokens_of(spark, sf_dir), BUDGET)
+
+
+@query(BATCHES + "SELECT batch_id, count(*) AS articles, CAST(sum(tokens) AS BIGINT) AS tokens FROM b GROUP BY batch_id")
+def batch_token_totals(spark, sf_dir):
+    return batching.batch_totals(batching.token_batches(tokens_of(spark, sf_dir), BUDGET))
+
+
+@query("SELECT doc_id AS seq, (row_number() OVER (ORDER BY doc_id) - 1) // 75 AS chunk FROM documents")
+def fixed_chunks(spark, sf_dir):
+    return batching.fixed_chunks(tokens_of(spark, sf_dir), 75).select("seq", "chunk")
+
+
+@query()
+def request_jsonl(spark, sf_dir):
+    items = docs_as_articles(spark, sf_dir).withColumn("prompt", text.extract_prompt(F.col("content"), 100))
+    return batching.requests_jsonl(items, "extraction", "prompt", max_tokens=350, stop="```")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS article_id, CASE WHEN doc_id % 2 = 0 THEN 'extraction' ELSE 'classification' END AS kind FROM documents WHERE doc_id % 5 <> 0")
+def custom_id_roundtrip(spark, sf_dir):
+    kind = F.when(F.col("seq") % 5 == 0, "other").when(F.col("seq") % 2 == 0, F.when(F.col("seq") % 3 == 0, "extract").otherwise("extraction")).otherwise("classification")
+    rows = docs_as_articles(spark, sf_dir).select(text.custom_id(F.col("article_id"), kind).alias("custom_id"))
+    each = [A.of_kind(rows, k).select("article_id", F.lit(k).alias("kind")) for k in ("classification", "extraction")]
+    return each[0].unionByName(each[1])
+
+
+@query(
+    """SELECT conv_id, turn, CASE WHEN turn % 4 = 0 THEN NULL WHEN turn % 4 = 1 THEN '{"day": ' || turn || '}' WHEN turn % 4 = 2 THEN NULL ELSE '{"turn": ' || turn || '}' END AS payload,
+  CASE WHEN turn % 4 = 0 THEN NULL ELSE role END AS role_label FROM conversations"""
+)
+def response_parse(spark, sf_dir):
+    """Envelopes: every fourth has an error; the rest hold JSON in fences, prose, or bare JSON."""
+    c = table(spark, sf_dir, "conversations")
+    t = F.col("turn").cast("string")
+    content = F.when(F.col("turn") % 4 == 1, F.concat(F.lit('```json\n{"day": '), t, F.lit("}\n```"))).when(F.col("turn") % 4 == 2, F.concat(F.lit("no "), "text")).otherwise(F.concat(F.lit(' {"turn": '), t, F.lit("} ")))
+    envelope = lambda x: F.to_json(F.struct(F.lit("a-extraction").alias("custom_id"), F.when(F.col("turn") % 4 == 0, "gone").alias("error"), F.struct(F.struct(F.array(F.struct(F.struct(x.alias("content")).alias("message"))).alias("choices")).alias("body")).alias("response")))
+    extracted = payload.parsed_response(payload.response_text(envelope(content)), "extraction")
+    label = payload.parsed_response(payload.response_text(envelope(F.concat(F.lit(" "), F.upper("role"), F.lit("\n")))), "classification")
+    return c.select("conv_id", "turn", extracted.alias("payload"), label.alias("role_label"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN -1 ELSE CAST(floor(o_totalprice) AS BIGINT) END AS n FROM orders")
+def number_clean(spark, sf_dir):
+    written = F.when(F.col("o_orderkey") % 4 == 0, "about 5").otherwise(F.format_number(F.floor("o_totalprice"), 0))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.coalesce(text.clean_count(written), F.lit(-1)).alias("n"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 OR floor(o_totalprice) = 0 THEN -1 ELSE CAST(floor(o_totalprice) AS BIGINT) END AS enqueued_limit FROM orders")
+def limit_from_errors(spark, sf_dir):
+    said = F.when(F.col("o_orderkey") % 3 == 0, "Rate limit reached").otherwise(F.concat(F.lit("Enqueued token limit reached. Limit: "), F.format_number(F.floor("o_totalprice"), 0), F.lit(" enqueued tokens.")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.coalesce(text.enqueued_limit(said), F.lit(-1)).alias("enqueued_limit"))
+
+
+# ---------------------------------------------------------------- rates
+
+WINDOW = 3600
+SLIDING = f"WITH t AS (SELECT event_id, ts, CAST(floor(value) AS BIGINT) AS tokens FROM events), w AS (SELECT *, CAST(sum(tokens) OVER (ORDER BY epoch_us(ts) RANGE BETWEEN {WINDOW * 1_000_000 - 1} PRECEDING AND CURRENT ROW) AS BIGINT) AS current FROM t) "
+
+
+def sliding(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", F.floor("value").cast("bigint").alias("tokens"))
+    return rates.sliding_sum(rows, "ts", "tokens", WINDOW)
+
+
+@query(SLIDING + "SELECT event_id, tokens, current FROM w")
+def tpm_sliding(spark, sf_dir):
+    return sliding(spark, sf_dir).select("event_id", "tokens", "current")
+
+
+@query(SLIDING + "SELECT event_id, current <= 1000 * 0.75 AS admitted FROM w")
+def tpm_admission(spark, sf_dir):
+    return rates.admission(sliding(spark, sf_dir), "tokens", 1000, 0.75).select("event_id", "admitted")
+
+
+@query(
+    """WITH t AS (SELECT event_id, ts, CASE event_type WHEN 'signup' THEN CAST(floor(value) AS BIGINT) WHEN 'purchase' THEN -CAST(floor(value) AS BIGINT) ELSE 0 END AS delta FROM events),
+  s AS (SELECT *, CAST(sum(delta) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total FROM t)
+  SELECT event_id, total - least(0, min(total) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)) AS balance FROM s"""
+)
+def enqueued_balance(spark, sf_dir):
+    n = F.floor("value").cast("bigint")
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", F.when(F.col("event_type") == "signup", n).when(F.col("event_type") == "purchase", -n).otherwise(F.lit(0)).alias("delta"))
+    return rates.running_balance(rows, "ts", "event_id", "delta").select("event_id", "balance")
+
+
+POLLS = """
+WITH p AS (SELECT event_id, user_id, ts, count(*) FILTER (event_type = 'purchase') OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS processed FROM events),
+c AS (SELECT *, CASE WHEN processed IS DISTINCT FROM lag(processed) OVER (PARTITION BY user_id ORDER BY ts, event_id) THEN ts END AS changed FROM p),
+l AS (SELECT *, max(changed) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS last_change, min(ts) OVER (PARTITION BY user_id) AS first FROM c),
+s AS (SELECT *, epoch_us(ts) - epoch_us(last_change) > 86400 * 1000000::BIGINT AS stalled, epoch_us(ts) - epoch_us(first) > 10 * 86400 * 1000000::BIGINT AS timed_out FROM l)
+"""
+
+
+@query(POLLS + "SELECT event_id, last_change, stalled FROM s")
+def batch_stalls(spark, sf_dir):
+    return lifecycle.stalls(polls(spark, sf_dir), "user_id", "ts", "event_id", "processed", 86_400).select("event_id", "last_change", "stalled")
+
+
+@query(POLLS + "SELECT event_id, timed_out FROM s")
+def batch_timeouts(spark, sf_dir):
+    return lifecycle.timeouts(polls(spark, sf_dir), "user_id", "ts", 864_000).select("event_id", "timed_out")
+
+
+@query(POLLS + "SELECT CASE WHEN processed >= 20 THEN 'completed' WHEN timed_out THEN 'timeout' WHEN stalled THEN 'stalled' ELSE 'wait' END AS decision, count(*) AS n FROM s GROUP BY 1")
+def batch_decisions(spark, sf_dir):
+    rows = lifecycle.stalls(polls(spark, sf_dir), "user_id", "ts", "event_id", "processed", 86_400)
+    rows = lifecycle.timeouts(rows, "user_id", "ts", 864_000).withColumn("status", F.when(F.col("processed") >= 20, "completed").otherwise("in_progress"))
+    return rows.groupBy(lifecycle.decision(F.col("status"), F.col("timed_out"), F.col("stalled")).alias("decision")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN greatest(1.0, least(60.0, value)) ELSE least(60.0, 5.0 * pow(2, event_id % 7)) END::DOUBLE AS delay FROM events")
+def retry_delays(spark, sf_dir):
+    asked = F.when(F.col("event_id") % 4 == 0, F.col("value").cast("string"))
+    return table(spark, sf_dir, "events").select("event_id", pacing.retry_delay(F.col("event_id") % 7 + 1, asked).alias("delay"))
+
+
+@query(
+    """WITH e AS (SELECT event_id, event_id % 10001 AS made FROM events), r AS (SELECT *, made / 10000.0::DOUBLE AS ratio FROM e)
+  SELECT event_id, round(CASE WHEN ratio >= 0.98 THEN 30.0 WHEN ratio >= 0.90 THEN 10 * (1 + 4 * (ratio - 0.9) / 0.1) ELSE 0.0 END::DOUBLE, 6) AS delay,
+         CAST(round_even(made * 100.0::DOUBLE / 10000 / 5, 0) * 5 AS BIGINT) AS band FROM r"""
+)
+def rpd_pacing(spark, sf_dir):
+    made = F.col("event_id") % 10_001
+    return table(spark, sf_dir, "events").select("event_id", F.round(pacing.day_pacing(made, F.lit(10_000)).cast("double"), 6).alias("delay"), pacing.usage_band(made, F.lit(10_000.0)).alias("band"))
+
+
+@query("SELECT event_id, least(3600.0, 10.0 * pow(2, event_id % 12))::DOUBLE AS seconds FROM events")
+def poll_backoff(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", pacing.poll_interval(F.col("event_id") % 12).alias("seconds"))
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN s >= 3600 THEN (s // 3600) || 'h ' || (s % 3600 // 60) || 'm ' || (s % 60) || 's' WHEN s >= 60 THEN (s // 60) || 'm ' || (s % 60) || 's' ELSE s || 's' END AS took,
+  strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS created FROM (SELECT *, CAST(floor(o_totalprice / 10) AS BIGINT) AS s FROM orders)"""
+)
+def durations(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", pacing.duration_text(F.floor(F.col("o_totalprice") / 10)).alias("took"), pacing.epoch_text(F.unix_seconds(F.col("o_orderdate").cast("timestamp"))).alias("created"))
+
+
+# ---------------------------------------------------------------- batch service
+
+
+@query(ORDER_BATCHES + "SELECT batch_id, status, created_at, total_requests * 4096 AS estimated_tokens FROM b WHERE status <> 'completed'")
+def nonterminal_batches(spark, sf_dir):
+    return lifecycle.open_batches(order_batches(spark, sf_dir), 4096).select("batch_id", "status", "created_at", "estimated_tokens")
+
+
+@query(ORDER_BATCHES + "SELECT batch_id, status FROM b WHERE status NOT IN ('completed', 'failed', 'expired', 'cancelled')")
+def cancel_candidates(spark, sf_dir):
+    return lifecycle.cancel_candidates(order_batches(spark, sf_dir)).select("batch_id", "status")
+
+
+@query(ORDER_BATCHES + "SELECT batch_id, created_at FROM (SELECT * FROM b ORDER BY created_at DESC, batch_id LIMIT 1000) WHERE status = 'validating'")
+def listed_batches(spark, sf_dir):
+    return lifecycle.listed(order_batches(spark, sf_dir), "validating", 100, 10).select("batch_id", "created_at")
+
+
+@query(ORDER_BATCHES + "SELECT status, count(*) AS batches, CAST(sum(total_requests) AS BIGINT) AS requests FROM b GROUP BY status")
+def batch_usage(spark, sf_dir):
+    return order_batches(spark, sf_dir).groupBy("status").agg(F.count("*").alias("batches"), F.sum("total_requests").alias("requests"))
+
+
+@query("SELECT l_orderkey AS batch_id, CAST(l_partkey AS VARCHAR) AS article_id FROM lineitem")
+def batch_members(spark, sf_dir):
+    batches = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("batch_id")).agg(F.collect_list(F.col("l_partkey").cast("string")).alias("article_ids"))
+    return A.batch_articles(batches)
+
+
+# ---------------------------------------------------------------- charts
+
+
+@query(ORDER_SERIES + ", m AS (SELECT *, strftime(date, '%Y-%m') AS year_month FROM s) SELECT CAST(date AS VARCHAR) AS date, year_month, pilgrim_count, max(pilgrim_count) OVER w AS month_max, pilgrim_count = max(pilgrim_count) OVER w AS is_max FROM m WINDOW w AS (PARTITION BY year_month)")
+def series_by_month(spark, sf_dir):
+    return charts.month_view(order_series(spark, sf_dir)).select(F.col("date").cast("string").alias("date"), "year_month", "pilgrim_count", "month_max", "is_max")
+
+
+@query(ORDER_SERIES + ", m AS (SELECT DISTINCT CAST(year(date) AS INT) AS year, strftime(date, '%Y-%m') AS year_month FROM s) SELECT year, string_agg(year_month, ',' ORDER BY year_month) AS months FROM m GROUP BY year")
+def year_month_map(spark, sf_dir):
+    return charts.year_months(order_series(spark, sf_dir)).select("year", F.array_join("months", ",").alias("months"))
+
+
+@query(
+    ORDER_SERIES
+    + """, m AS (SELECT strftime(date, '%Y-%m') AS year_month, max(pilgrim_count) AS month_max FROM s GROUP BY 1),
+  y AS (SELECT DISTINCT CAST(year(date) AS INT) AS year FROM s), x AS (SELECT year, CAST(u.month AS INT) AS month, printf('%04d-%02d', year, u.month) AS year_month FROM y, (SELECT unnest(range(1, 13)) AS month) u)
+  SELECT year, month, x.year_month, coalesce(month_max, -1) AS month_max, coalesce(month_max = max(month_max) OVER (PARTITION BY year), false) AS is_max FROM x LEFT JOIN m USING (year_month)"""
+)
+def year_spine(spark, sf_dir):
+    return charts.year_spine(order_series(spark, sf_dir)).select("year", "month", "year_month", F.coalesce("month_max", F.lit(-1)).alias("month_max"), "is_max")
+
+
+@query(ORDER_SERIES + " SELECT CAST(min(year(date)) AS INT) AS month_tab_year, min(strftime(date, '%Y-%m')) AS month_tab_month, CAST(max(year(date)) AS INT) AS year_tab_year FROM s")
+def default_selection(spark, sf_dir):
+    return charts.default_selection(order_series(spark, sf_dir))
+
+
+@query("SELECT count(*) AS rows FROM documents")
+def csv_count(spark, sf_dir):
+    """Rows of the articles' CSV form: one line each, as the quoting keeps line ends inside fields."""
+    import uuid
+
+    from daystack.operators.durable import durable
+    from daystack.sources.articles import count_rows
+
+    docs = docs_as_articles(spark, sf_dir)
+    durable(spark.range(1))  # sets the shared folder where the session has none
+    folder = f"{spark.sparkContext.getCheckpointDir()}/csv-{uuid.uuid4().hex}"
+    docs.select("year", "month", "article_id", "title", "link", "content").write.option("header", True).option("quote", '"').option("escape", '"').csv(folder)
+    return count_rows(spark, folder)
+
+
+# ---------------------------------------------------------------- providers
+
+COUNT_SQL = r"coalesce(nullif(regexp_extract(text, '(?i)([0-9]{1,3}(?:,[0-9]{3})+)\s+pilgrims', 1), ''), nullif(regexp_extract(text, '(?i)pilgrims (?:who )?had darshan[^:]*::?\s*([0-9][0-9,]*)', 1), ''))"
+DAY_SQL = r"coalesce(nullif(regexp_extract(text, '\b([0-9]{1,2})[.-][0-9]{1,2}[.-][0-9]{4}\b', 1), ''), nullif(regexp_extract(text, '(?i)\b(?:january|february|march|april|may|june|july|august|september|october|november|december|jan|feb|mar|apr|jun|jul|aug|sep|oct|nov|dec)\.?\s+([0-9]{1,2})\b', 1), ''))"
+NEWS_SQL = "WITH d AS (SELECT doc_id, text || CASE WHEN doc_id % 3 = 0 THEN ' Total pilgrims who had darshan on ' || (doc_id % 28 + 1) || '.10.2024: ' || printf('%d,%03d', doc_id % 90 + 10, doc_id % 1000) ELSE '' END AS text FROM documents)"
+
+
+def news(spark, sf_dir):
+    """Every third document ends in a count."""
+    i = F.col("seq")
+    tail = F.format_string(" Total pilgrims who had darshan on %d.10.2024: %d,%03d", i % 28 + 1, i % 90 + 10, i % 1000)
+    return docs_as_articles(spark, sf_dir).withColumn("content", F.concat("content", F.when(i % 3 == 0, tail).otherwise("")))
+
+
+@query(NEWS_SQL + f"SELECT CAST(doc_id AS VARCHAR) AS article_id, CASE WHEN {COUNT_SQL} IS NOT NULL AND {DAY_SQL} IS NOT NULL THEN 'true' ELSE 'false' END AS label FROM d")
+def rule_provider_classify(spark, sf_dir):
+    return A.classified(base.classify(news(spark, sf_dir))).select("article_id", "label")
+
+
+@query(NEWS_SQL + f"SELECT CAST(doc_id AS VARCHAR) AS article_id, CAST({DAY_SQL} AS BIGINT) AS day, CAST(replace({COUNT_SQL}, ',', '') AS BIGINT) AS pilgrim_count FROM d WHERE {COUNT_SQL} IS NOT NULL AND {DAY_SQL} IS NOT NULL")
+def rule_provider_extract(spark, sf_dir):
+    rows = news(spark, sf_dir)
+    asked = A.only(rows, A.classified(base.classify(rows)).where("label = 'true'"))
+    got = base.extract(asked).select("article_id", payload.parse(F.col("text")).alias("v"))
+    return got.select("article_id", payload.day_of(F.col("v")).alias("day"), payload.count_of(F.col("v")).alias("pilgrim_count"))
