@@ -7,8 +7,8 @@ two latent classes) and which voters depend on each other beyond that (by what i
 covariance within the classes); dependent voters share their weight.  Its posteriors are the labels that a linear
 classifier on hashed words and word beginnings is trained on; scores are the classifier's.
 
-Rows that the caller holds out are never looked at in training.  Patterns and the classifier come from
-a bounded sample of rows; vote counts are over all of them.
+Rows that are held out are never looked at in training.  Votes are counted over all other rows; patterns
+and the classifier are fitted on bounded samples of them.
 
 Edge cases: a null or empty text has no features and gets the classifier's score for none; repeated
 rows repeat; without toxic labels the lexicon alone votes; an empty table gives an empty result; other
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daystack.llm.common import remainder, texts
+from daystack.llm.common import cut, remainder, texts
 
 #: Insults by kind, one voter each.
 LEXICON = {
@@ -40,7 +40,7 @@ LEXICON = {
 }
 #: Letters of word beginnings; the share of a text's words from which a voter fires.
 STEMS, LEAST = (3, 4, 5, 6, 7), 0.006
-#: Most patterns, labelled rows they are found in, and unlabelled rows to train on.
+#: Most patterns, most labelled rows they are found in, and rows whose features the classifier is trained on.
 PATTERNS, LABELLED, SAMPLE = 40, 20_000, 8_000
 #: How many rows a labelled one counts for in the label model.
 KNOWN = 5.0
@@ -106,23 +106,38 @@ class Voters:
         return sum(1 << k for k, n in enumerate(seen) if n >= least)
 
 
-def find_stems(rows: list[tuple[Counter[str], int]], most: int = PATTERNS) -> list[str]:
-    """Beginnings that are frequent in toxic rows too often for chance, and in others hardly ever."""
-    seen = (Counter(), Counter())
-    n = [0, 0]
-    for words, toxic in rows:
-        n[toxic] += 1
-        least = max(1, LEAST * words.total())
-        seen[toxic].update(s for s, k in stems_of(words, STEMS).items() if k >= least)
+def stem_counts(labelled: DataFrame) -> DataFrame:
+    """stem, toxic, clean: in how many rows (text, toxic) of either kind each beginning is frequent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen = (Counter(), Counter())
+            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                words = words_of(text)
+                least = max(1, LEAST * words.total())
+                seen[toxic].update(s for s, n in stems_of(words, STEMS).items() if n >= least)
+            stems = list(seen[0].keys() | seen[1].keys())
+            yield pa.RecordBatch.from_arrays([pa.array(stems, pa.string()), pa.array([seen[1][s] for s in stems], pa.int64()), pa.array([seen[0][s] for s in stems], pa.int64())], ["stem", "toxic", "clean"])
+
+    found = labelled.select("text", "toxic").mapInArrow(run, "stem string, toxic long, clean long")
+    return found.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def find_stems(counts: DataFrame, n: tuple[int, int], most: int = PATTERNS) -> list[str]:
+    """Beginnings that are frequent in toxic rows too often for chance, and in others hardly ever; ``n``: clean and toxic rows.
+
+    Only those that pass come to the driver, the best of them first, and a bounded number.
+    """
     if not n[1]:
         return []
-    chance = np.log10((n[0] + n[1]) / n[1])
+    chance = float(np.log10(sum(n) / n[1]))
+    least = 2 + float(np.log10(1 + counts.where("toxic > 0").count()))
+    passed = counts.where((F.col("clean") <= 0.1 * F.col("toxic")) & ((F.col("toxic") - 5 * F.col("clean")) * chance >= least))
+    best = passed.orderBy(F.desc("toxic"), F.desc(F.length("stem")), "stem").limit(100 * most).collect()
     lexicon = {w for words in LEXICON.values() for w in words}
-    least = 2 + np.log10(1 + len(seen[1]))
-    found = [s for s, t in seen[1].items() if seen[0][s] <= 0.1 * t and (t - 5 * seen[0][s]) * chance >= least and not any(w.startswith(s) for w in lexicon)]
     out: list[str] = []
-    for s in sorted(found, key=lambda s: (-seen[1][s], -len(s), s)):
-        if len(out) < most and not any(s.startswith(x) or x.startswith(s) for x in out):
+    for s in (r["stem"] for r in best):
+        if len(out) < most and not any(w.startswith(s) for w in lexicon) and not any(s.startswith(x) or x.startswith(s) for x in out):
             out.append(s)
     return out
 
@@ -144,10 +159,10 @@ class LabelModel:
         return np.log(self.prior / (1 - self.prior)) + odds
 
 
-def fit_labels(votes: np.ndarray, weight: np.ndarray, prior: float, known: tuple[np.ndarray, np.ndarray] | None = None, rounds: int = 60) -> LabelModel:
+def fit_labels(votes: np.ndarray, weight: np.ndarray, prior: float, known: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None, rounds: int = 60) -> LabelModel:
     """Expectation maximisation over distinct vote patterns and how many rows have them.
 
-    To begin with, a row with a vote is toxic.  Rows that are ``known`` (votes, class) keep their class and
+    To begin with, a row with a vote is toxic.  Patterns that are ``known`` (votes, class, rows) keep their class and
     count ``KNOWN`` times: voters for different languages never fire together, so it takes these to tell
     that they vote for the same.  Voters whose covariance within the classes is more than
     noise share their weight, in proportion to how strong their correlation is.
@@ -155,8 +170,8 @@ def fit_labels(votes: np.ndarray, weight: np.ndarray, prior: float, known: tuple
     n, voters = votes.shape
     model = LabelModel(prior, np.stack([np.full(voters, 0.001), np.full(voters, 0.2)]), np.ones(voters), np.array([0.95, 0.1]))
     toxic = np.where(votes.any(axis=1), 0.95, 0.02)
-    k_votes, k_class = known if known is not None and len(known[1]) else (np.zeros((0, voters)), np.zeros(0))
-    fixed = KNOWN * np.stack([1.0 - k_class, k_class])
+    k_votes, k_class, k_rows = known if known is not None and len(known[1]) else (np.zeros((0, voters)), np.zeros(0), np.zeros(0))
+    fixed = KNOWN * k_rows * np.stack([1.0 - k_class, k_class])
     for k in range(rounds):
         by = np.stack([weight * (1 - toxic), weight * toxic])
         size = by.sum(axis=1, keepdims=True) + fixed.sum(axis=1, keepdims=True)
@@ -168,7 +183,7 @@ def fit_labels(votes: np.ndarray, weight: np.ndarray, prior: float, known: tuple
         if k == rounds // 2:
             model.share = _shares(votes, by, model.fires)
         new = 1 / (1 + np.exp(-np.clip(model.log_odds(votes), -50, 50)))
-        if k > rounds // 2 and np.abs(new - toxic).max() < 1e-6:
+        if k > rounds // 2 and np.abs(new - toxic).max(initial=0) < 1e-6:
             break
         toxic = new
     return model
@@ -221,16 +236,14 @@ class Linear:
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[f] @ x, -50, 50))))
 
 
-def fit_linear(rows: list[tuple[Counter[str], int, float]], seed: int = 0) -> Linear:
+def fit_linear(feats: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, seed: int = 0) -> Linear:
     """Logistic regression on soft labels; both classes weigh the same, so rare toxic rows count."""
-    feats, values = zip(*[features(w, v) for w, v, _ in rows], strict=True)
-    y = np.array([p for _, _, p in rows])
     weigh = y / max(y.sum(), 1e-9) + (1 - y) / max((1 - y).sum(), 1e-9)
     weigh *= len(y) / max(weigh.sum(), 1e-9)
     w, b, seen, rng = np.zeros(BUCKETS + MORE), 0.0, np.full(BUCKETS + MORE, 1e-2), np.random.default_rng(seed)
     seen_b = 1e-2
     for _ in range(PASSES):
-        order = rng.permutation(len(rows))
+        order = rng.permutation(len(y))
         for at in range(0, len(order), 32):
             part = order[at : at + 32]
             own = np.repeat(np.arange(len(part)), [len(feats[k]) for k in part])
@@ -250,17 +263,18 @@ def fit_linear(rows: list[tuple[Counter[str], int, float]], seed: int = 0) -> Li
 # ---------------------------------------------------------------- the operator
 
 
-def vote_counts(rows: DataFrame, voters: Voters) -> dict[bytes, int]:
-    """Pattern of votes -> rows of the whole table that have it; patterns are bounded by what words occur together."""
+def vote_counts(rows: DataFrame, voters: Voters) -> list[tuple[bytes, int, int]]:
+    """(votes, class, rows) over a whole table of (text, class); patterns are bounded by what words occur together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[int] = Counter()
+        found: Counter[tuple[int, int]] = Counter()
         for b in batches:
-            found.update(voters.votes(words_of(t)) for t in b.column(1).to_pylist())
+            found.update((voters.votes(words_of(t)), c) for t, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
         size = voters.number // 8 + 1
-        yield pa.RecordBatch.from_arrays([pa.array([v.to_bytes(size, "little") for v in found], pa.binary()), pa.array(list(found.values()), pa.int64())], ["votes", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([v.to_bytes(size, "little") for v, _ in found], pa.binary()), pa.array([c for _, c in found], pa.int32()), pa.array(list(found.values()), pa.int64())], ["votes", "class", "n"])
 
-    return {bytes(r["votes"]): r["n"] for r in rows.mapInArrow(run, "votes binary, n long").groupBy("votes").agg(F.sum("n").alias("n")).collect()}
+    found = rows.mapInArrow(run, "votes binary, class int, n long").groupBy("votes", "class").agg(F.sum("n").alias("n")).collect()
+    return sorted((bytes(r["votes"]), r["class"], r["n"]) for r in found)
 
 
 def sampled(rows: DataFrame, most: int, seed: int) -> DataFrame:
@@ -269,6 +283,24 @@ def sampled(rows: DataFrame, most: int, seed: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000)) < share * 1_000_000)
 
 
+def training_rows(rows: DataFrame, voters: Voters) -> DataFrame:
+    """doc_id, features, values (in 255ths) and votes of the rows' texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                words = words_of(text)
+                votes = voters.votes(words)
+                f, x = features(words, votes)
+                out.append((doc_id, f.astype("<i4").tobytes(), np.rint(255 * x).astype(np.uint8).tobytes(), votes.to_bytes(voters.number // 8 + 1, "little")))
+            if out:
+                kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "f", "x", "votes"])
+
+    return rows.select("doc_id", "text").mapInArrow(run, "doc_id long, f binary, x binary, votes binary")
+
+
 @dataclass
 class Trained:
     voters: Voters
@@ -276,28 +308,35 @@ class Trained:
     linear: Linear
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, sample: int = SAMPLE) -> Trained:
-    """The three models, from the rows of ``docs`` that are not held out."""
+def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED, sample: int = SAMPLE) -> Trained:
+    """The three models, from the rows of ``docs`` that are not held out.
+
+    Votes are counted over all of them, stems over the labelled ones (at most ``labelled_rows``, by a hash
+    of the id); the classifier is fitted on the features of a sample and of about as many labelled toxic
+    rows at most.
+    """
     rows = texts(docs).where(~held_out())
-    known = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = sampled(known.where(~held_out()), labelled, 1)
-    seen = [(words_of(r["text"]), r["toxic"]) for r in rows.join(known, "doc_id").select("doc_id", "text", "toxic").orderBy("doc_id", "text").collect()]
-    voters = Voters(find_stems(seen))
-    prior = float(np.clip(np.mean([t for _, t in seen]), 0.001, 0.5)) if seen else 0.05
-    counts = vote_counts(rows, voters)
-    keys = sorted(counts)
-    bits = np.array([[k[v // 8] >> v % 8 & 1 for v in range(voters.number)] for k in keys], float).reshape(len(keys), voters.number)
-    known_bits = np.array([[v >> k & 1 for k in range(voters.number)] for v in (voters.votes(w) for w, _ in seen)], float).reshape(len(seen), voters.number)
-    model = fit_labels(bits, np.array([counts[k] for k in keys], float), prior, (known_bits, np.array([t for _, t in seen], float))) if keys else LabelModel(prior, np.full((2, voters.number), 0.5), np.ones(voters.number), np.full(2, 0.5))
-
-    def posterior(words: Counter[str]) -> float:
-        v = voters.votes(words)
-        odds = model.log_odds(np.array([[v >> k & 1 for k in range(voters.number)]], float))[0]
-        return float(1 / (1 + np.exp(-np.clip(odds, -50, 50))))
-
-    picked = [words_of(r["text"]) for r in sampled(rows, sample, 2).orderBy("doc_id", "text").collect()]
-    picked += [words for words, toxic in seen if toxic]
-    return Trained(voters, model, fit_linear([(w, voters.votes(w), posterior(w)) for w in picked]) if picked else Linear(np.zeros(BUCKETS + MORE, np.float32), -5.0))
+    known = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out())
+    # at most ``labelled_rows`` numbers: small enough to send, and texts stay where they are
+    known = known.orderBy(F.xxhash64(F.lit(1), "doc_id"), "doc_id").limit(labelled_rows)
+    labelled = rows.join(F.broadcast(known), "doc_id").select("doc_id", "text", "toxic")
+    n = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    n = (n.get(0, 0), n.get(1, 0))
+    voters = Voters(find_stems(cut(stem_counts(labelled)), n))
+    prior = float(np.clip(n[1] / max(1, sum(n)), 0.001, 0.5)) if n[1] else 0.05
+    bits_of = lambda v: [v[k // 8] >> k % 8 & 1 for k in range(voters.number)]
+    counts = vote_counts(rows.select("text", F.lit(0).alias("class")), voters)
+    seen = vote_counts(labelled.select("text", "toxic"), voters)
+    table = lambda c: np.array([bits_of(v) for v, _, _ in c], float).reshape(len(c), voters.number)
+    known_rows = (table(seen), np.array([c for _, c, _ in seen], float), np.array([k for _, _, k in seen], float))
+    model = fit_labels(table(counts), np.array([k for _, _, k in counts], float), prior, known_rows)
+    picked = sampled(rows, sample, 2).select("doc_id", "text").unionByName(sampled(labelled.where("toxic = 1"), sample, 3).select("doc_id", "text"))
+    got = sorted((r["doc_id"] or 0, bytes(r["f"]), bytes(r["x"]), bytes(r["votes"])) for r in training_rows(picked, voters).toLocalIterator())
+    if not got:
+        return Trained(voters, model, Linear(np.zeros(BUCKETS + MORE, np.float32), -5.0))
+    odds = model.log_odds(np.array([bits_of(v) for *_, v in got], float))
+    feats, values = [np.frombuffer(f, "<i4") for _, f, _, _ in got], [np.frombuffer(x, np.uint8) / np.float32(255) for _, _, x, _ in got]
+    return Trained(voters, model, fit_linear(feats, values, 1 / (1 + np.exp(-np.clip(odds, -50, 50)))))
 
 
 def score(docs: DataFrame, model: Trained) -> DataFrame:
