@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import argparse
+import importlib
+import json
 import logging
 import signal
 import sys
@@ -30,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--state-file")
     r.add_argument("--resume-from-state")
     r.add_argument("--provider", default="rules")
+    r.add_argument("--client", help="module:Class of a batch service; without it, or with --per-record, the provider is asked row by row")
     r.add_argument("--output", default="output")
     c = commands.add_parser("chart", help="daily series to a page")
     c.add_argument("--data-file", required=True)
@@ -51,6 +54,7 @@ def config_of(args: argparse.Namespace) -> RunConfig:
 
 
 def _run(args: argparse.Namespace) -> int:
+    from daystack.plans.batch_run import earlier_rows
     from daystack.plans.pipeline import run
     from daystack.sinks.files import report, save_state, write_displaced, write_failed, write_metadata, write_series
     from daystack.sources.states import load_state
@@ -76,13 +80,23 @@ def _run(args: argparse.Namespace) -> int:
 
     for number in (signal.SIGINT, signal.SIGTERM, signal.SIGUSR1):
         signal.signal(number, stop)
-    result = run(spark, args.directory, config, args.provider, args.retry_failed)
+    if args.client and not config.per_record:
+        from daystack.plans.batch_run import BatchRunner
+        from daystack.plans.pipeline import load
+
+        module, _, cls = args.client.partition(":")
+        runner = BatchRunner(getattr(importlib.import_module(module), cls)(), config)
+        result = runner.run(spark, load(spark, args.directory, config, args.retry_failed))
+    else:
+        result = run(spark, args.directory, config, args.provider, args.retry_failed)
+    if state["darshan_rows"]:
+        result.earlier = earlier_rows(spark, state)
     counters = result.counters.first().asDict()
     files = {"series": str(out / "series.json"), "displaced": str(out / "displaced.json"), "state": state_file}
     write_series(result.series, files["series"])
     write_displaced(result.displaced, files["displaced"])
     files["failed"] = write_failed(result.failed, str(out), label)
-    state["metrics"] = counters
+    state |= {"metrics": counters, "darshan_rows": json.loads(Path(files["series"]).read_text()), "date_duplicates": json.loads(Path(files["displaced"]).read_text())}
     save_state(state_file, state)
     ended = datetime.now()
     write_metadata(str(out / "run_metadata.json"), label, started, ended, args.provider, config.as_dict(), before, counters, files)
@@ -101,8 +115,6 @@ def _chart(args: argparse.Namespace) -> int:
 
 
 def _batches(args: argparse.Namespace) -> int:
-    import importlib
-
     from daystack.operators.lifecycle import cancel_candidates
     from daystack.sinks.files import batch_table
     from daystack.sources.batches import list_batches

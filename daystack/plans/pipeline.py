@@ -25,10 +25,12 @@ class Run:
     articles: DataFrame
     labels: DataFrame
     outcomes: DataFrame
+    earlier: DataFrame | None = None  # daily rows of a run that this one goes on from
 
     @property
     def valid(self) -> DataFrame:
-        return self.outcomes.where(F.col("outcome") == "extracted_success")
+        rows = self.outcomes.where(F.col("outcome") == "extracted_success").select("date", "article_id", "title", "link", "pilgrim_count", "other_metrics", "seq")
+        return rows if self.earlier is None else self.earlier.unionByName(rows)
 
     @property
     def series(self) -> DataFrame:
