@@ -3,7 +3,8 @@
 Shingles are ordered from rare to frequent.  If two sets are similar enough, then for every k they
 share at least k shingles of each one's prefix, which is (size - least overlap + k) long.  Each set
 picks its own k by what its prefix would cost: a longer one meets more sets, but asks for more shared
-shingles and so sends fewer to verification.  A pair must share as many as the smaller k of the two.
+shingles and so sends fewer to verification.  A pair must share as many as the smaller k of the two,
+within the prefixes that its own sizes ask for, which are shorter still.
 
 Texts' sets are compared, not texts: equal sets are one.  Shingles travel once, packed by ranges of
 hashes; where they meet, those that no other set has go no further.  They come first in every prefix,
@@ -83,8 +84,32 @@ def unpack_range(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return sigs, counts.astype(np.int64), tokens.view("<u8").ravel()
 
 
+def group_of(sigs: np.ndarray, groups: int) -> np.ndarray:
+    return np.ascontiguousarray(sigs[:, :4]).view(">u4").ravel().astype(np.int64) % groups
+
+
+def pack_sets(r: int, sigs: np.ndarray, owner: np.ndarray, tokens: np.ndarray, df: np.ndarray) -> bytes:
+    """One range's shingles of some sets, and their frequencies."""
+    starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    counts = np.diff(np.append(starts, len(owner))).astype("<u4")
+    low = np.ascontiguousarray(tokens).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : BITS // 8]
+    return b"".join((np.uint32(len(counts)).tobytes(), np.uint32(r).tobytes(), sigs[owner[starts]].tobytes(), counts.tobytes(), low.tobytes(), df.tobytes()))
+
+
+def unpack_sets(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures, counts, shingles (the range in their high bits), frequencies."""
+    n, r = (int(x) for x in np.frombuffer(blob, "<u4", 2))
+    at = 8 + n * (SIGNATURE + 4)
+    sigs = np.frombuffer(blob, np.uint8, n * SIGNATURE, 8).reshape(-1, SIGNATURE)
+    counts = np.frombuffer(blob, "<u4", n, 8 + n * SIGNATURE).astype(np.int64)
+    m = int(counts.sum())
+    tokens = np.zeros((m, 8), np.uint8)
+    tokens[:, : BITS // 8] = np.frombuffer(blob, np.uint8, m * (BITS // 8), at).reshape(-1, BITS // 8)
+    return sigs, counts, tokens.view("<u8").ravel() + np.uint64(r << BITS), np.frombuffer(blob, "<u4", m, at + m * (BITS // 8)).astype(np.int64)
+
+
 def shared_shingles(docs: DataFrame, ranges: int, words: int) -> DataFrame:
-    """sig, toks, dfs: of each set, the shingles that some other set has, by ranges; and how many sets have them."""
+    """(group of signatures, bytes): of each set, the shingles that some other set has, and how many sets have them."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[bytes, np.ndarray]] = []
@@ -128,14 +153,16 @@ def shared_shingles(docs: DataFrame, ranges: int, words: int) -> DataFrame:
         df = np.empty(len(t), np.int64)
         df[order] = np.repeat(np.diff(np.append(starts, len(t))), np.diff(np.append(starts, len(t))))
         some = df > 1
-        tokens, owner, df = tokens[some] + np.uint64(r << BITS), owner[some], df[some]  # each owner's are together still
-        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
-        ends = np.append(starts, len(owner)).astype(np.int32)
-        names = [x.tobytes().hex() for x in sigs[owner[starts]]]
-        return pa.table({"sig": pa.array(names, pa.string()), "toks": pa.ListArray.from_arrays(ends, pa.array(tokens.astype(np.int64))), "dfs": pa.ListArray.from_arrays(ends, pa.array(df.astype(np.int32)))})
+        tokens, owner, df = tokens[some], owner[some], df[some].astype("<u4")  # each owner's are together still
+        group = group_of(sigs, ranges)[owner]
+        order = np.argsort(group, kind="stable")
+        tokens, owner, df, group = tokens[order], owner[order], df[order], group[order]
+        bounds = np.searchsorted(group, np.arange(ranges + 1))
+        found = [(g, pack_sets(r, sigs, owner[lo:hi], tokens[lo:hi], df[lo:hi])) for g, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)) if lo < hi]
+        return pa.table({"g": pa.array([g for g, _ in found], pa.int64()), "blob": pa.array([x for _, x in found], pa.binary())})
 
     sent = texts(docs).mapInArrow(send, "r int, blob binary")
-    return sent.groupBy("r").applyInArrow(meet, "sig string, toks array<bigint>, dfs array<int>")
+    return sent.groupBy("r").applyInArrow(meet, "g long, blob binary")
 
 
 # ---------------------------------------------------------------- prefixes
@@ -147,7 +174,7 @@ def adaptive_prefix(size: int, tokens: np.ndarray, df: np.ndarray, percent: int
     base = size - -(-percent * size // 100) - alone  # shared shingles in a prefix for k = 0
     if base < 0:
         return tokens[:0], 0
-    order = np.lexsort((mixed(tokens.view(np.uint64)), df))
+    order = np.lexsort((mixed(tokens), df))
     tokens, df = tokens[order], df[order]
     meets = np.cumsum(df - 1)
     ks = np.arange(1, min(LONGEST, len(tokens) - base) + 1)
@@ -160,24 +187,31 @@ def adaptive_prefix(size: int, tokens: np.ndarray, df: np.ndarray, percent: int
 
 def candidates(docs: DataFrame, sets: DataFrame, ranges: int, words: int, percent: int) -> DataFrame:
     """id, n, toks, prefix, k, alone, bucket: the sets that may have a link; bucket is a min-hash of toks."""
-    shared = shared_shingles(docs, ranges, words).groupBy("sig").agg(F.flatten(F.collect_list("toks")).alias("toks"), F.flatten(F.collect_list("dfs")).alias("dfs"))
-    some = shared.join(sets, "sig").where(F.col("n") - F.size("toks") <= F.col("n") - F.ceil(F.col("n") * percent / 100))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[tuple] = []
-            for id_, n, toks, dfs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
-                tokens, df = toks.values.to_numpy(), dfs.values.to_numpy()
-                prefix, k = adaptive_prefix(n, tokens, df, percent)
-                if k:
-                    least = int(mixed(tokens.view(np.uint64) + np.uint64(1)).min().view(np.int64))
-                    out.append((id_, n, tokens, prefix, k, n - len(tokens), least))
-            if out:
-                cols = list(zip(*out, strict=True))
-                kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["id", "n", "toks", "prefix", "k", "alone", "bucket"])
-
-    return some.select("id", "n", "toks", "dfs").mapInArrow(run, "id long, n long, toks array<bigint>, prefix array<bigint>, k int, alone long, bucket long")
+    group = F.conv(F.substr("sig", F.lit(1), F.lit(8)), 16, 10).cast("long") % ranges
+    names = ["id", "n", "toks", "prefix", "k", "alone", "bucket"]
+    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.int64(), pa.int64())
+
+    def choose(blobs: pa.Table, known: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if blobs.num_rows:
+            parts = [unpack_sets(x) for x in blobs.column("blob").to_pylist()]
+            sigs, counts, tokens, df = (np.concatenate([p[k] for p in parts]) for k in range(4))
+            info = {bytes.fromhex(s): (i, n) for s, i, n in zip(*(known.column(c).to_pylist() for c in ("sig", "id", "n")), strict=True)}
+            number = {s: k for k, s in enumerate(info)}
+            owner = np.repeat([number[s.tobytes()] for s in sigs], counts)
+            order = np.argsort(owner, kind="stable")
+            tokens, df, owner = tokens[order], df[order], owner[order]
+            bounds = np.searchsorted(owner, np.arange(len(info) + 1))
+            for k, (id_, n) in enumerate(info.values()):
+                t, d = tokens[bounds[k] : bounds[k + 1]], df[bounds[k] : bounds[k + 1]]
+                prefix, need = adaptive_prefix(n, t, d, percent)
+                if need:
+                    out.append((id_, n, t.view(np.int64), prefix.view(np.int64), need, n - len(t), int(mixed(t + np.uint64(1)).min().view(np.int64))))
+        cols = list(zip(*out, strict=True)) or [()] * len(names)
+        return pa.table([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
+
+    blobs = shared_shingles(docs, ranges, words).groupBy("g")
+    return blobs.cogroup(sets.withColumn("g", group).groupBy("g")).applyInArrow(choose, "id long, n long, toks array<bigint>, prefix array<bigint>, k int, alone long, bucket long")
 
 
 # ---------------------------------------------------------------- links
@@ -206,7 +240,8 @@ def similar_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     def rooted(rows: DataFrame) -> DataFrame:
         return rows.join(roots.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").withColumn("root", F.coalesce("root", "id")).drop("_id")
 
-    prefixes = rooted(sets.select("id", "n", "k", "alone", "prefix")).withColumn("tok", F.explode("prefix")).drop("prefix")
+    prefixes = rooted(sets.select("id", "n", "k", "alone", "prefix"))
+    prefixes = prefixes.select("id", "n", "k", "alone", "root", F.posexplode("prefix").alias("at", "tok")).withColumn("at", F.col("at") + F.col("alone"))
     while True:
         mixed_toks = prefixes.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("tok")
         prefixes = cut(prefixes.join(mixed_toks, "tok", "left_semi"))  # shingles that still lead from one component to another
@@ -217,10 +252,37 @@ def similar_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         roots = cut(components(links))
         prefixes = rooted(prefixes.drop("root"))
 
-    side = lambda x: prefixes.select("tok", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "k", "root")])
-    near = (F.col("root_a") < F.col("root_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    met = side("a").join(side("b"), "tok").where(near).groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b"), F.least("k_a", "k_b").alias("least")).count().where("count >= least")
-    return components(cut(links.unionByName(verified(met.select("a", "b"), sets, percent))))
+    # what still meets: each set is compared with a pivot, of the sets that it meets the one with the most links
+    degree = links.groupBy(F.col("a").alias("_id")).agg(F.count("*").alias("_links"))
+    ranked = prefixes.join(degree, F.col("id") == F.col("_id"), "left").withColumn("one", F.struct((-F.coalesce("_links", F.lit(0))).alias("links"), "alone", "id"))
+    hubs = ranked.groupBy("tok").agg(F.min("one").alias("hub"))
+    pivots = prefixes.select("id", "tok").join(hubs, "tok").groupBy("id").agg(F.min("hub").alias("hub")).select("id", F.col("hub.id").alias("pivot"))
+    of = lambda x: sets.select(F.col("id").alias(f"_{x}"), F.col("n").alias(f"n_{x}"), F.col("toks").alias(f"toks_{x}"))
+    seen = pivots.join(of("own"), F.col("id") == F.col("_own")).join(of("pivot"), F.col("pivot") == F.col("_pivot"))
+    seen = cut(seen.select("id", "pivot", F.col("n_own").alias("n"), "n_pivot", F.size(F.array_intersect("toks_own", "toks_pivot")).alias("shared"), F.array_except("toks_own", "toks_pivot").alias("rest")))
+    found = seen.where((F.col("id") != F.col("pivot")) & (100 * F.col("shared") >= percent * (F.col("n") + F.col("n_pivot") - F.col("shared"))))
+    links = cut(links.unionByName(found.select(F.col("pivot").alias("a"), F.col("id").alias("b"))))
+    roots = cut(components(links))
+    seen = rooted(seen)
+
+    # Two sets with one pivot share at most the lesser of what they share with it, and what they share
+    # besides.  ``needed`` is (100 + percent) times the least that similar sets share.
+    needed = percent * (F.col("n_a") + F.col("n_b"))
+    besides = needed > (100 + percent) * F.least("shared_a", "shared_b")
+    side = lambda x: seen.select("pivot", F.explode("rest").alias("tok"), *[F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "shared", "root")])
+    met = side("a").join(side("b"), ["pivot", "tok"]).where((F.col("root_a") < F.col("root_b")) & besides)
+    met = met.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "n_a", "n_b", "shared_a", "shared_b").count()
+    pairs = met.where(needed <= (100 + percent) * (F.least("shared_a", "shared_b") + F.col("count"))).select("a", "b")
+
+    # All others by a pair's own prefixes: of a set of n that must share at least m with the other, n - m + k,
+    # and no set has more than n - m shingles alone.
+    rest = rooted(prefixes.drop("root")).join(seen.select(F.col("id").alias("_id"), "pivot", "shared"), F.col("id") == F.col("_id"))
+    side = lambda x: rest.select("tok", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "k", "alone", "at", "root", "pivot", "shared")])
+    within = lambda x: (needed <= (100 + percent) * (F.col(f"n_{x}") + F.least("k_a", "k_b") - F.col(f"at_{x}") - 1)) & (needed <= (100 + percent) * (F.col(f"n_{x}") - F.col(f"alone_{x}")))
+    met = side("a").join(side("b"), "tok").where((F.col("root_a") < F.col("root_b")) & within("a") & within("b") & ~((F.col("pivot_a") == F.col("pivot_b")) & besides))
+    met = met.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b"), F.least("k_a", "k_b").alias("least")).count().where("count >= least")
+    pairs = cut(pairs.unionByName(met.select("a", "b")))
+    return components(cut(links.unionByName(verified(pairs, sets, percent))))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -240,6 +302,9 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
 
 def keep_one_similar(docs: DataFrame) -> DataFrame:
-    """``docs`` with all their columns, one document of each component: the one with the smallest doc_id."""
-    kept = jaccard_components(docs).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi")
+    """``docs`` with all their columns, one document of each component: the one with the smallest doc_id.
+
+    Rows without a doc_id are in no component and stay.
+    """
+    kept = jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
