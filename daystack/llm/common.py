@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -42,6 +43,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished rounds now; it finds out when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id``, the text with null as empty, and ``more`` columns; nothing else gets in the way of names."""
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *more)

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daystack.llm.common import cut
+from daystack.llm.common import cut, release
+
+#: Links that a task takes.
+ROWS = 100_000
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,16 +16,20 @@ def components(links: DataFrame) -> DataFrame:
 
     A hub's links are spread by Spark's handling of skewed joins; minima are taken where rows are read.
     """
-    edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    # few links take few tasks: rounds on small graphs would else be mostly files
+    most = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(most, links.count() // ROWS + 1)
+    edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).coalesce(tasks).distinct().coalesce(tasks))
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").coalesce(tasks).distinct().coalesce(tasks)
         least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
         joined = large.join(least, F.col("a") == F.col("u"))
-        small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(joined.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        edges = cut(small)
+        small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(joined.select("a", F.col("m").alias("b"))).where("a <> b").coalesce(tasks).distinct()
+        edges = cut(small.coalesce(tasks))
+        release(edges.sparkSession)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daystack.llm.common import cut, look_up, texts
+from daystack.llm.common import cut, look_up, release, texts
 from daystack.llm.components import components
 from daystack.llm.shingles import SIGNATURE, WORDS, mixed, shingle_set, signature
 
@@ -251,6 +251,7 @@ def similar_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         links = cut(links.unionByName(fresh))
         roots = cut(components(links))
         prefixes = rooted(prefixes.drop("root"))
+        release(sets.sparkSession)
 
     # what still meets: each set is compared with a pivot, of the sets that it meets the one with the most links
     degree = links.groupBy(F.col("a").alias("_id")).agg(F.count("*").alias("_links"))
@@ -291,6 +292,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     sets = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.count("*").alias("copies"))
     sets = cut(sets)
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    release(docs.sparkSession)
     some = cut(candidates(docs, sets.drop("copies"), ranges, words, percent))
     roots = similar_links(some, percent)
     known = sets.join(roots, "id", "left").select("sig", "copies", F.coalesce("root", "id").alias("component_id"), "root")
