@@ -36,6 +36,17 @@ def query(sql: str | None = None):
     return add
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share."""
+    import uuid
+
+    from daystack.operators.durable import durable
+
+    if spark.sparkContext.getCheckpointDir() is None:
+        durable(spark.range(1))  # sets the folder
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 # ---------------------------------------------------------------- stand-ins
 
 
@@ -437,14 +448,10 @@ def default_selection(spark, sf_dir):
 @query("SELECT count(*) AS rows FROM documents")
 def csv_count(spark, sf_dir):
     """Rows of the articles' CSV form: one line each, as the quoting keeps line ends inside fields."""
-    import uuid
-
-    from daystack.operators.durable import durable
     from daystack.sources.articles import count_rows
 
     docs = docs_as_articles(spark, sf_dir)
-    durable(spark.range(1))  # sets the shared folder where the session has none
-    folder = f"{spark.sparkContext.getCheckpointDir()}/csv-{uuid.uuid4().hex}"
+    folder = scratch(spark, "csv")
     docs.select("year", "month", "article_id", "title", "link", "content").write.option("header", True).option("quote", '"').option("escape", '"').csv(folder)
     return count_rows(spark, folder)
 
@@ -474,3 +481,82 @@ def rule_provider_extract(spark, sf_dir):
     asked = A.only(rows, A.classified(base.classify(rows)).where("label = 'true'"))
     got = base.extract(asked).select("article_id", payload.parse(F.col("text")).alias("v"))
     return got.select("article_id", payload.day_of(F.col("v")).alias("day"), payload.count_of(F.col("v")).alias("pilgrim_count"))
+
+
+# ---------------------------------------------------------------- files
+
+
+@query("SELECT conv_id || '-' || turn || '-extraction' AS custom_id, CASE WHEN turn % 5 = 0 THEN NULL ELSE md5(text) END AS digest FROM conversations")
+def result_lines(spark, sf_dir):
+    """Result files of conversations: every fifth line has an error, blank lines come between."""
+    from daystack.sources.batches import read_results
+
+    c = table(spark, sf_dir, "conversations")
+    body = F.struct(F.array(F.struct(F.struct(F.concat(F.lit(" "), "text", F.lit(" ")).alias("content")).alias("message"))).alias("choices"))
+    line = F.to_json(F.struct(F.concat_ws("-", "conv_id", "turn", F.lit("extraction")).alias("custom_id"), F.when(F.col("turn") % 5 == 0, "gone").alias("error"), F.struct(body.alias("body")).alias("response")))
+    path = scratch(spark, "results")
+    c.select(F.concat(line, F.lit("\n")).alias("value")).write.text(path)
+    return read_results(spark, path).select("custom_id", F.md5("text").alias("digest"))
+
+
+@query("SELECT o_orderkey AS code, CASE WHEN o_orderstatus = 'F' THEN 'inline' ELSE 'file' END AS origin FROM orders")
+def batch_errors(spark, sf_dir):
+    from daystack.sources.batches import all_errors
+
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("code"), "o_orderstatus")
+    inline = o.where("o_orderstatus = 'F'").select("code", F.lit("inline").alias("origin"), F.lit("m").alias("message"))
+    return all_errors(inline, o.where("o_orderstatus <> 'F'").select("code", F.lit("file").alias("origin"))).select("code", "origin")
+
+
+@query("SELECT CAST(coalesce(sum(CAST(floor(value) AS BIGINT)), 0) AS BIGINT) AS input_tokens FROM events WHERE event_id % 9 <> 0")
+def usage_total(spark, sf_dir):
+    """Nested usage buckets; every ninth result has no number."""
+    n = F.when(F.col("event_id") % 9 != 0, F.floor("value").cast("bigint"))
+    buckets = table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_list(F.struct(n.alias("input_tokens"))).alias("results"))
+    return rates.total_usage(buckets)
+
+
+@query("SELECT DISTINCT l_orderkey AS batch_id FROM lineitem")
+def effects_once(spark, sf_dir):
+    return A.once(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("batch_id")))
+
+
+@query(ORDER_SERIES + " SELECT CAST(date AS VARCHAR) AS date, pilgrim_count FROM s")
+def series_file(spark, sf_dir):
+    """The series as a JSON object and back; a key that is no date is dropped on the way."""
+    from daystack.sources.states import read_series
+
+    record = F.struct(F.lit("a").alias("article_id"), F.lit("t").alias("title"), F.lit("p").alias("post"), F.struct("pilgrim_count", F.struct(F.lit(1).alias("x")).alias("other_metrics")).alias("data"))
+    rows = order_series(spark, sf_dir).select(F.col("date").cast("string").alias("key"), record.alias("record"))
+    rows = rows.unionByName(rows.limit(1).withColumn("key", F.lit("2100-02-31")))
+    path = scratch(spark, "series")
+    rows.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("key", "record")))).alias("value")).write.text(path)  # a row a day
+    return read_series(spark, path).select(F.col("date").cast("string").alias("date"), "pilgrim_count")
+
+
+@query("SELECT o_orderkey, o_orderkey % 600 = 429 OR o_orderkey % 600 BETWEEN 500 AND 599 OR o_orderstatus = 'P' OR o_custkey % 120 IN (11, 104, 110) AS retry FROM orders")
+def retryable_errors(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", pacing.is_retryable(F.col("o_orderkey") % 600, F.when(F.col("o_orderstatus") == "P", "TimeoutError"), F.col("o_custkey") % 120).alias("retry"))
+
+
+@query("SELECT event_id, (5.0 * pow(2, event_id % 5))::DOUBLE AS seconds FROM events")
+def submit_backoffs(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", pacing.submit_backoff(F.col("event_id") % 5 + 1).alias("seconds"))
+
+
+@query("SELECT doc_id, md5('{\"title\": ' || left(text, 20) || ', \"budget\": 100}') AS digest FROM documents")
+def prompt_render(spark, sf_dir):
+    rendered = text.render('{{"title": {title}, "budget": {token_budget}}}', title=F.left("text", F.lit(20)), token_budget=F.lit(100))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(rendered).alias("digest"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS article_id, 'failed' AS why FROM labels WHERE quality IS NULL UNION ALL SELECT CAST(d.doc_id AS VARCHAR), 'unanswered' FROM documents d WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def failed_articles(spark, sf_dir):
+    """Articles whose answer says nothing, and those that never got one."""
+    from daystack.sources.batches import unanswered
+
+    articles = docs_as_articles(spark, sf_dir)
+    said = A.classified(answers(spark, sf_dir))
+    bad = A.only(articles, said.where("label is null")).select("article_id", F.lit("failed").alias("why"))
+    return bad.unionByName(unanswered(articles.select("article_id"), said).withColumn("why", F.lit("unanswered")))
