@@ -18,8 +18,11 @@ def components(links: DataFrame) -> DataFrame:
     """
     # few links take few tasks: rounds on small graphs would else be mostly files
     most = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = min(most, links.count() // ROWS + 1)
-    edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).coalesce(tasks).distinct().coalesce(tasks))
+    links = links.where("a <> b")
+    if not (n := links.count()):
+        return links.select(F.col("a").alias("id"), F.col("b").alias("root"))
+    tasks = min(most, n // ROWS + 1)
+    edges = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).coalesce(tasks).distinct().coalesce(tasks))
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -253,6 +253,9 @@ def similar_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         prefixes = rooted(prefixes.drop("root"))
         release(sets.sparkSession)
 
+    if prefixes.isEmpty():
+        return roots
+
     # what still meets: each set is compared with a pivot, of the sets that it meets the one with the most links
     degree = links.groupBy(F.col("a").alias("_id")).agg(F.count("*").alias("_links"))
     ranked = prefixes.join(degree, F.col("id") == F.col("_id"), "left").withColumn("one", F.struct((-F.coalesce("_links", F.lit(0))).alias("links"), "alone", "id"))
