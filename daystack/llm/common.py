@@ -142,8 +142,9 @@ def look_up(rows: DataFrame, table: DataFrame, key: str, size: str, how: str = "
     cold = table.where(F.col(size) < least)
     boxed = lambda t, name: t.select(F.col(key).alias(f"{name}_key"), F.struct(*columns).alias(name))
     out = rows.join(F.broadcast(boxed(hot, "_hot")), F.col(key) == F.col("_hot_key"), "left")
-    # a row already answered gets a key of its own, which no table row has
-    out = out.withColumn("_cold_on", F.when(F.col("_hot_key").isNull(), F.col(key).cast("string")).otherwise(F.concat(F.lit("\u0000"), F.uuid())))
+    # a row already answered gets a key of its own, which no table row has; the same one if a lost task is run again
+    own = F.concat(F.lit("\u0000"), F.xxhash64(*rows.columns).cast("string"))
+    out = out.withColumn("_cold_on", F.when(F.col("_hot_key").isNull(), F.col(key).cast("string")).otherwise(own))
     out = out.join(boxed(cold.withColumn(key, F.col(key).cast("string")), "_cold"), F.col("_cold_on") == F.col("_cold_key"), "left")
     if how == "inner":
         out = out.where(F.col("_hot_key").isNotNull() | F.col("_cold_key").isNotNull())
