@@ -102,6 +102,10 @@ def fixed_chunks(rows: DataFrame, size: int, seq: str = "seq") -> DataFrame:
     return ranged.join(firsts, "_part").withColumn("chunk", F.floor(place / size)).drop("_part", "_first")
 
 
+#: Fixed value: where a service takes chat requests.
+URL = "/v1/chat/completions"
+
+
 def requests_jsonl(items: DataFrame, kind: str, prompt: str, model: str = "rules", temperature: float = 0.01, max_tokens: int = 2, stop: str | None = None) -> DataFrame:
     """A request line for each item (article_id and a prompt column), as JSON text."""
     from daystack.functions.text import custom_id
@@ -110,5 +114,5 @@ def requests_jsonl(items: DataFrame, kind: str, prompt: str, model: str = "rules
     fields = [F.lit(model).alias("model"), message.alias("messages"), F.lit(temperature).alias("temperature"), F.lit(max_tokens).alias("max_tokens")]
     if stop is not None:
         fields.append(F.array(F.lit(stop)).alias("stop"))
-    line = F.struct(custom_id(F.col("article_id"), kind).alias("custom_id"), F.lit("POST").alias("method"), F.lit("/v1/chat/completions").alias("url"), F.struct(*fields).alias("body"))
+    line = F.struct(custom_id(F.col("article_id"), kind).alias("custom_id"), F.lit("POST").alias("method"), F.lit(URL).alias("url"), F.struct(*fields).alias("body"))
     return items.select("article_id", F.to_json(line).alias("line"))
