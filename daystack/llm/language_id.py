@@ -32,8 +32,8 @@ UNKNOWN = "und"
 PER_LANGUAGE, LANGUAGES = 300, 64
 #: Hashed features; letters of a word that features see (the first and last half, where it is longer).
 BUCKETS, LETTERS = 1 << 15, 24
-#: Words that a worker remembers, and words that forward-backward takes at once.
-REMEMBERED, AT_ONCE = 400_000, 1_000_000
+#: Words that a task remembers, and words that forward-backward takes at once.
+REMEMBERED, AT_ONCE = 300_000, 200_000
 #: Training: chains' length, chains a step, passes, rate, and decay.
 CHAIN, STEP, PASSES, RATE, DECAY = 48, 48, 2, 0.3, 1e-6
 

@@ -26,8 +26,8 @@ from daystack.llm.common import cut, rank_rows, texts
 
 CAPACITY = 4096
 END_ID = 1
-#: Words of which a worker remembers the ids.
-REMEMBERED = 800_000
+#: Words of which a task remembers the ids.
+REMEMBERED = 400_000
 #: Branches at each depth of a filling; deeper levels take the largest that fits.
 BRANCHES = (4, 3, 2)
 #: Nodes that the search may visit for each number of sequences that it tries, for each length there is.
@@ -92,16 +92,17 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, raw.split(b" ")))
 
 
-_loaded: dict[str, WordIds] = {}
+_loaded: dict[str, object] = {}
 
 
 def word_ids(path: str) -> WordIds:
+    """A fresh memory of words on the worker's one copy of the tokenizer: it goes with the task that fills it."""
     if path not in _loaded:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _loaded[path] = WordIds(Tokenizer.from_file(path))
-    return _loaded[path]
+        _loaded[path] = Tokenizer.from_file(path)
+    return WordIds(_loaded[path])
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"

@@ -212,7 +212,7 @@ _features: dict[str, tuple[int, ...]] = {}
 
 def features(words: Counter[str], votes: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashed words and beginnings, voters that fire, and whether any does; and their values."""
-    if len(_features) > 500_000:
+    if len(_features) > 200_000:
         _features.clear()
     total: Counter[int] = Counter()
     for w, n in words.items():
