@@ -1,8 +1,7 @@
 """Sets of word shingles as 64-bit hashes.
 
 Words are runs of anything but ASCII white space, with A-Z in lower case.  A text of fewer words than
-a shingle has is one shingle of all its words.  Two shingles count as equal when their hashes are: of
-sets with 600 shingles, one pair in 10^13 would get an overlap that is off by one.
+a shingle has is one shingle of all its words.  Two shingles count as equal when their hashes are.
 """
 
 from __future__ import annotations
