@@ -187,9 +187,12 @@ def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model:
     if not chains:
         return Model([])
     words, size = list(vocabulary), len(languages)
-    feats, owners = word_features(words)
-    order = np.argsort(owners, kind="stable")
-    feats, start = feats[order], np.searchsorted(owners[order], np.arange(len(words) + 1))
+    parts, counts = [], []
+    for at in range(0, len(words), 20_000):
+        f, owner = word_features(words[at : at + 20_000])
+        parts.append(f[np.argsort(owner, kind="stable")].astype(np.int32))
+        counts.append(np.bincount(owner, minlength=len(words[at : at + 20_000])))
+    feats, start = np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
     weights, moves = np.zeros((BUCKETS, size)), np.zeros((size, size))
     seen_w, seen_m = np.full((BUCKETS, size), 1e-4), np.full((size, size), 1e-4)
     for _ in range(PASSES):
