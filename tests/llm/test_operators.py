@@ -462,6 +462,23 @@ def test_fingerprints(documents, rows):
     assert fingerprint.fingerprint_edits(documents, ranges=1).orderBy("doc_id").collect() == sorted(out.values())
 
 
+@needs_tables
+def test_fingerprints_tell_near_copies_apart(documents, rows):
+    """By default, likenesses are off by no more than 64 draws make them."""
+    texts = [t or "" for _, t in rows]
+    out = {r.doc_id: r for r in fingerprint.fingerprint_edits(documents).collect()}
+    error, variance = [], []
+    for n, (k, _) in enumerate(rows):
+        t, after = texts[n], texts[(n + 1) % len(texts)]
+        a, b, c = (Counter(x.split()) for x in (t, after, t[: len(t) - len(t) // 2] + after[: len(t) // 2]))
+        for got, x in ((out[k].near_edited, c), (out[k].near_next, b)):
+            s = sum((a & x).values()) / max(1, sum((a | x).values())) if a or x else 1.0
+            error.append(got - s)
+            variance.append(s * (1 - s) / 64)
+    assert (np.array(error) ** 2).mean() ** 0.5 < 1.15 * np.mean(variance) ** 0.5
+    assert all(len(r.fingerprint) in (0, 8 * 64) for r in out.values())
+
+
 # ---------------------------------------------------------------- classifiers
 
 
