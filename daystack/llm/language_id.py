@@ -5,8 +5,8 @@ with the word's borders (so that affixes are among them), three-letter affixes,
 a lexicon entry, all hashed; transitions between languages are learned with them.  Forward-backward
 gives each word's posterior, and a text's language is the one with the largest share of them.
 
-Training uses a bounded sample of labelled rows, whole texts: about ``per_language`` of each language,
-for the ``languages`` most frequent ones.  Some training chains are joined from parts of texts in
+Training uses a bounded sample of labelled rows, whole texts: about ``per_language`` of each language
+there is, all of those that have fewer.  Some training chains are joined from parts of texts in
 several languages, for the transitions.
 
 Edge cases: a text that is null, empty or without letters is ``und`` with score 0; ties go to the
@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 from daystack.llm.common import remainder
 
 UNKNOWN = "und"
-#: Rows for training: about so many of each of so many languages.
-PER_LANGUAGE, LANGUAGES = 300, 64
+#: Rows for training: about so many of each language.
+PER_LANGUAGE = 300
 #: Hashed features; letters of a word that features see (the first and last half, where it is longer).
 BUCKETS, LETTERS = 1 << 15, 24
-#: Words that a task remembers, and words that forward-backward takes at once.
-REMEMBERED, AT_ONCE = 300_000, 200_000
+#: Words that a task remembers, and words that forward-backward takes at once, with up to MANY languages; fewer with more.
+REMEMBERED, AT_ONCE, MANY = 300_000, 200_000, 64
 #: Training: chains' length, chains a step, passes, rate, and decay.
 CHAIN, STEP, PASSES, RATE, DECAY = 48, 48, 2, 0.3, 1e-6
 
@@ -120,7 +120,8 @@ class Model:
 
     def shares(self, texts: list[str | None], labels: bool = False) -> list:
         """For each text its languages' shares (None without words), or, with ``labels``, its words' languages."""
-        if not hasattr(self, "_known") or len(self._known) > REMEMBERED:
+        languages = max(MANY, len(self.languages))
+        if not hasattr(self, "_known") or len(self._known) > REMEMBERED * MANY // languages:
             self._known: dict[str, int] = {}
             self._new: list[str] = []
             self._table = np.zeros((0, len(self.languages)))
@@ -134,7 +135,7 @@ class Model:
         at = 0
         while at < len(order):
             longest = len(chains[order[at]])
-            part = order[at : at + max(1, min(256, AT_ONCE // longest))]
+            part = order[at : at + max(1, min(256, AT_ONCE * MANY // languages // longest))]
             at += len(part)
             lengths = np.array([len(chains[k]) for k in part])
             ids = np.zeros((len(part), longest), np.int64)
@@ -233,15 +234,13 @@ def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model:
 # ---------------------------------------------------------------- operators
 
 
-def train(docs: DataFrame, where=None, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> Model:
+def train(docs: DataFrame, where=None, per_language: int = PER_LANGUAGE) -> Model:
     """Fit on about ``per_language`` rows of each language, picked by a hash of their id, of rows ``where``."""
     rows = docs.where("lang is not null and text is not null")
     rows = rows.where(where) if where is not None else rows
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    if not counts:
-        return Model([])
-    share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_language / r["count"]))) for r in counts])
-    picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
+    counts = rows.groupBy("lang").agg(F.count("*").alias("_n"))
+    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("_n"))
+    picked = rows.select("doc_id", "text", "lang").join(F.broadcast(counts), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
     sample = picked.select("doc_id", "text", "lang").collect()
     return fit([(r["text"], r["lang"]) for r in sorted(sample, key=lambda r: (r["doc_id"], r["text"]))])
 

@@ -300,6 +300,21 @@ def test_languages(spark, documents):
     assert documents.count() == language_id.with_known_language(documents).count()
 
 
+def test_rare_languages_are_learned(spark):
+    """Each of 70 languages is found again, however rare."""
+    rng = random.Random(3)
+    rows = []
+    for k in range(70):
+        letters = chr(0x4E00 + 3 * k) + chr(0x4E01 + 3 * k) + chr(0x4E02 + 3 * k)
+        text = lambda: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(40))  # noqa: E731, B023
+        rows += [(len(rows) + j, text(), f"l{k:02}") for j in range(12 if k < 64 else 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    assert model.languages == sorted({r[2] for r in rows})
+    found = language_id.predictions(model, [r[1] for r in rows])
+    assert [f[0] for f in found] == [r[2] for r in rows]
+
+
 # ---------------------------------------------------------------- personal data
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
