@@ -1,6 +1,6 @@
 """Language identification of code-switched text with a linear-chain conditional random field.
 
-A text's words (runs of letters, in lower case) are a chain.  Word features are its letter n-grams
+A text's words (runs of letters, in lower case, of which long ones are cut every ``LETTERS``) are a chain.  Word features are its letter n-grams
 with the word's borders (so that affixes are among them), three-letter affixes, and the word itself as
 a lexicon entry, all hashed; transitions between languages are learned with them.  Forward-backward
 gives each word's posterior, and a text's language is the one with the largest share of them.
@@ -30,14 +30,14 @@ from daystack.llm.common import remainder
 UNKNOWN = "und"
 #: Rows for training: about so many of each language.
 PER_LANGUAGE = 300
-#: Hashed features; letters of a word that features see (the first and last half, where it is longer).
+#: Hashed features; letters of a word: longer runs, as of scripts without spaces, are several words.
 BUCKETS, LETTERS = 1 << 15, 24
 #: Words that a task remembers, and words that forward-backward takes at once, with up to MANY languages; fewer with more.
 REMEMBERED, AT_ONCE, MANY = 300_000, 200_000, 64
 #: Training: chains' length, chains a step, passes, rate, and decay.
 CHAIN, STEP, PASSES, RATE, DECAY = 48, 48, 2, 0.3, 1e-6
 
-_letters = re.compile(r"[^\W\d_]+")
+_letters = re.compile(rf"[^\W\d_]{{1,{LETTERS}}}")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -46,8 +46,7 @@ def words_of(text: str | None) -> list[str]:
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(features of all words in a row, word numbers): n-grams of 2 and 3 letters, affixes of 3, the word."""
-    half = LETTERS // 2
-    marked = [f"^{w if len(w) <= LETTERS else w[:half] + w[-half:]}$" for w in words]
+    marked = [f"^{w}$" for w in words]
     c = np.array(marked, f"U{LETTERS + 2}").reshape(-1, 1).view(np.uint32).reshape(len(words), LETTERS + 2).astype(np.uint64)
     n = (c > 0).sum(axis=1)
     odd = np.uint64(0x9E3779B97F4A7C15)

@@ -315,6 +315,16 @@ def test_rare_languages_are_learned(spark):
     assert [f[0] for f in found] == [r[2] for r in rows]
 
 
+def test_long_runs_are_read_whole():
+    run = "".join(chr(0x4E00 + k) for k in range(100))
+    assert language_id.words_of(run + " b") == [run[:24], run[24:48], run[48:72], run[72:96], run[96:], "b"]
+    rng = random.Random(5)
+    text = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    model = language_id.fit([(text(x, 120), x) for x in ("abcd", "wxyz") for _ in range(60)])
+    mixed = text("abcd", 24) + text("wxyz", 96) + text("abcd", 24)  # the middle is most of it
+    assert language_id.predictions(model, [mixed])[0][0] == "wxyz"
+
+
 # ---------------------------------------------------------------- personal data
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
