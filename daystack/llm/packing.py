@@ -183,6 +183,16 @@ def best_fit(counts: dict[int, int], capacity: int) -> Counter[Pattern]:
     return sum(rooms.values(), Counter())
 
 
+def repeats(most: int) -> Iterator[int]:
+    """All numbers from ``most`` to 1: those near it and its halves first."""
+    first = [most, most - 1]
+    while first[-1] > 1:
+        first.append(first[-1] // 2)
+    first = [n for n in dict.fromkeys(first) if n > 0]
+    yield from first
+    yield from (n for n in range(most, 0, -1) if n not in first)
+
+
 class Completion:
     """Depth-first bin completion: each node fills up the sequence that holds the largest piece left."""
 
@@ -244,45 +254,56 @@ class Completion:
         kept = [x for x in best if x[0] == 0 or not dominated(x[1][1:], x[0])]
         return kept or best[:1]
 
-    def search(self, sequences: int, nodes: int) -> Counter[Pattern] | None:
-        """A packing into ``sequences``, if one turns up within ``nodes``."""
+    def search(self, sequences: int, nodes: int, fewer: bool = False) -> Counter[Pattern] | None:
+        """A packing into ``sequences``, if one turns up within ``nodes``.
+
+        A filling is used as often as it can be; with ``fewer`` also less often, and then no more of it
+        goes to pieces of this length.
+        """
         spare = sequences * self.capacity - self.total
         if spare < 0:
             return None
-        path: list[list] = []  # fillings, next, pattern, times, waste
+        path: list[list] = []  # fillings, next, pattern, times, waste, repeats left, largest, patterns that are settled
         wasted, largest = 0, self.capacity
         while True:
             while largest and not self.counts[largest]:
                 largest -= 1
             if not largest:
-                return sum((Counter({p: n}) for _, _, p, n, _ in path), Counter()) if len(path) < 200 else self._collect(path)
+                return self._collect(path)
             if nodes <= 0:
                 self._undo(path)
                 return None
             nodes -= 1
-            path.append([self.fillings(largest), 0, (), 0, 0])
+            fillings, settled = self.fillings(largest), frozenset()
+            if fewer and path and path[-1][6] == largest:
+                settled = path[-1][7] | {path[-1][2]}
+                fillings = [x for x in fillings if x[1] not in settled]
+            path.append([fillings, 0, (), 0, 0, iter(()), largest, settled])
             while True:  # take the next filling, here or further up
                 frame = path[-1]
-                for length, k in Counter(frame[2]).items():
+                pattern = frame[2]
+                for length, k in Counter(pattern).items():
                     self.counts[length] += k * frame[3]
                 wasted -= frame[4]
-                frame[2:] = [(), 0, 0]
-                while frame[1] < len(frame[0]):
+                frame[2:5] = [(), 0, 0]
+                times = next(frame[5], 0)
+                while not times and frame[1] < len(frame[0]):
                     waste, pattern = frame[0][frame[1]]
                     frame[1] += 1
-                    uses = Counter(pattern)
-                    times = min(int(self.counts[length]) // k for length, k in uses.items())
+                    most = min(int(self.counts[length]) // k for length, k in Counter(pattern).items())
                     if waste:
-                        times = min(times, (spare - wasted) // waste)
-                    if times > 0:
-                        for length, k in uses.items():
-                            self.counts[length] -= k * times
-                        frame[2:] = [pattern, times, waste * times]
-                        wasted += waste * times
-                        break
-                    if waste > spare - wasted:  # and so are all that follow
+                        most = min(most, (spare - wasted) // waste)
+                    if most > 0:
+                        frame[5] = repeats(most) if fewer else iter((most,))
+                        times = next(frame[5])
+                    elif waste > spare - wasted:  # and so are all that follow
                         frame[1] = len(frame[0])
-                if frame[3]:
+                if times:
+                    for length, k in Counter(pattern).items():
+                        self.counts[length] -= k * times
+                    waste = times * (self.capacity - sum(pattern))
+                    frame[2:5] = [pattern, times, waste]
+                    wasted += waste
                     break
                 path.pop()
                 if not path:
@@ -292,12 +313,12 @@ class Completion:
 
     def _collect(self, path: list[list]) -> Counter[Pattern]:
         out: Counter[Pattern] = Counter()
-        for _, _, pattern, n, _ in path:
+        for _, _, pattern, n, *_ in path:
             out[pattern] += n
         return out
 
     def _undo(self, path: list[list]) -> None:
-        for _, _, pattern, n, _ in path:
+        for _, _, pattern, n, *_ in path:
             for length, k in Counter(pattern).items():
                 self.counts[length] += k * n
 
@@ -310,11 +331,18 @@ def fill_sequences(counts: dict[int, int], capacity: int = CAPACITY, nodes_per_l
     incumbent = best_fit(counts, capacity)
     least, most = lower_bound(counts, capacity), sum(incumbent.values())
     nodes = nodes_per_length * len(counts) + 2000
-    search = Completion(counts, capacity)
-    tries = range(least, most) if most - least <= 4 else (least, (least + most) // 2, most - 1)
-    for sequences in tries:
-        if found := search.search(sequences, nodes):
-            return found
+    # a search that fails may have run out of nodes, so that small gaps are tried one by one
+    sequences = least
+    while least < most:
+        found = None
+        for fewer in (False, True):
+            if found := Completion(counts, capacity).search(sequences, nodes, fewer):
+                break
+        if found:
+            incumbent, most = found, sum(found.values())
+        else:
+            least = sequences + 1
+        sequences = least if most - least <= 4 else (least + most) // 2
     return incumbent
 
 

@@ -156,6 +156,21 @@ def test_packing_is_optimal(lengths):
     assert packing.lower_bound(Counter(lengths), 20) <= sum(found.values()) if lengths else True
 
 
+@pytest.mark.parametrize("counts, capacity, most", [({27: 3, 28: 200, 35: 200, 43: 200, 46: 10}, 100, 231), ({21: 200, 33: 40, 35: 3, 49: 40, 50: 40, 52: 40}, 100, 121)])
+def test_search_goes_on_after_a_success(counts, capacity, most):
+    """Of hot lengths best-fit is far from the bound (240 and 131 sequences); what is found first is not the least."""
+    found = packing.fill_sequences(counts, capacity)
+    total = Counter()
+    for p, n in found.items():
+        total.update({x: k * n for x, k in Counter(p).items()})
+    assert total == Counter(counts) and all(sum(p) <= capacity for p in found)
+    assert packing.lower_bound(counts, capacity) <= sum(found.values()) <= most
+
+
+def test_repeats():
+    assert sorted(packing.repeats(9)) == list(range(1, 10)) and list(packing.repeats(1)) == [1]
+
+
 @needs_tables
 def test_packing_of_documents(documents, rows):
     from tokenizers import Tokenizer
