@@ -38,6 +38,8 @@ LONGEST, VERIFY = 8, 20
 #: A shingle within its range: so many bits travel.  With 50 ranges, of two sets of 600 shingles the overlap is off
 #: by one in about 1 of 10^8 pairs; more ranges make it rarer.
 BITS = 40
+#: Bytes of packed shingles in a range, about; a range is what a task holds at once, so there are more with more input.
+RANGE_BYTES = 8 << 20
 
 
 def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -162,7 +164,7 @@ def shared_shingles(docs: DataFrame, ranges: int, words: int) -> DataFrame:
         found = [(g, pack_sets(r, sigs, owner[lo:hi], tokens[lo:hi], df[lo:hi])) for g, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)) if lo < hi]
         return pa.table({"g": pa.array([g for g, _ in found], pa.int64()), "blob": pa.array([x for _, x in found], pa.binary())})
 
-    sent = texts(docs).mapInArrow(send, "r int, blob binary")
+    sent = texts(docs).mapInArrow(send, "r int, blob binary").repartitionById(ranges, F.col("r"))
     return sent.groupBy("r").applyInArrow(meet, "g long, blob binary")
 
 
@@ -211,8 +213,10 @@ def candidates(docs: DataFrame, sets: DataFrame, ranges: int, words: int, percen
         cols = list(zip(*out, strict=True)) or [()] * len(names)
         return pa.table([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
 
-    blobs = shared_shingles(docs, ranges, words).groupBy("g")
-    return blobs.cogroup(sets.withColumn("g", group).groupBy("g")).applyInArrow(choose, "id long, n long, toks array<bigint>, prefix array<bigint>, k int, alone long, bucket long")
+    # groups are numbers below ``ranges``: one task each
+    by_group = lambda rows: rows.repartitionById(ranges, F.col("g").cast("int")).groupBy("g")
+    blobs = by_group(shared_shingles(docs, ranges, words))
+    return blobs.cogroup(by_group(sets.withColumn("g", group))).applyInArrow(choose, "id long, n long, toks array<bigint>, prefix array<bigint>, k int, alone long, bucket long")
 
 
 # ---------------------------------------------------------------- links
@@ -290,13 +294,19 @@ def similar_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return components(cut(links.unionByName(verified(pairs, sets, percent))))
 
 
+def shingle_ranges(rows: DataFrame) -> int:
+    """How many ranges the shingles of ``rows`` (n_shingles) are dealt to: by their bytes, and one for each task at least."""
+    total = rows.agg(F.sum("n_shingles")).first()[0] or 0
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total * (BITS // 8) // RANGE_BYTES))
+
+
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id that links lead to)."""
     rows = cut(document_sets(docs, words))
     sets = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.count("*").alias("copies"))
     sets = cut(sets)
-    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     release(docs.sparkSession)
+    ranges = shingle_ranges(rows)
     some = cut(candidates(docs, sets.drop("copies"), ranges, words, percent))
     roots = similar_links(some, percent)
     known = sets.join(roots, "id", "left").select("sig", "copies", F.coalesce("root", "id").alias("component_id"), "root")
