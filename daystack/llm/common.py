@@ -54,6 +54,14 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, or one like it that ``docs`` has no column of."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def remainder(modulus: int, of: str = "doc_id"):
     """crc32 of the id as text, modulo ``modulus``."""
     return F.crc32(F.col(of).cast("string").cast("binary")) % modulus

@@ -6,7 +6,7 @@ Each task then runs the grace hash join's build: rows go into an open-addressing
 complete contents; when the table would outgrow its memory, everything is dealt by the digest's next
 bits into spill files, and each of these is treated alike.
 
-Edge cases: a null text is an empty one; a null doc_id is below all others; all empty texts are copies of each other; rows that share
+Edge cases: a text of any length is compared whole, and held whole; a null text is an empty one; a null doc_id is below all others; all empty texts are copies of each other; rows that share
 both doc_id and text are one document, so all of them are kept or dropped together; an empty table
 gives an empty result; other columns are ignored.
 """
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+import sys
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -23,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daystack.llm.common import cut, look_up, texts
+from daystack.llm.common import cut, look_up, texts, unused
 
-#: Bytes of texts that a task holds before it hands on what it has combined, or deals a bucket anew.
+#: Bytes of texts and their entries that a task holds before it hands on what it has combined, or deals a bucket anew.
 MEMORY = 48 << 20
+#: Bytes that an entry takes besides its text.
+ENTRY = 230
 #: A bucket is dealt to so many spill files, by so many bits of the digest.
 FAN_BITS = 4
 
@@ -76,7 +79,7 @@ class ContentTable:
         self.contents.append(content)
         self.best.append(doc_id)
         self.sizes.append(size)
-        self.bytes += len(content) + 200
+        self.bytes += len(content) + ENTRY
         self.slots[at] = len(self.hashes)
         if 2 * len(self.hashes) > len(self.slots):
             slots = np.zeros(2 * len(self.slots), np.int64)
@@ -146,13 +149,13 @@ def _combine(memory: int, digest: Callable[[bytes], bytes]):
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if (have := held.get(text)) is None:
                     held[text] = [doc_id, 1]
-                    used += len(text)
+                    used += sys.getsizeof(text) + ENTRY
                 else:
                     have[0] = larger(have[0], doc_id)
                     have[1] += 1
-            if used > memory:
-                yield from out()
-                used = 0
+                if used > memory:
+                    yield from out()
+                    used = 0
         yield from out()
 
     return run
@@ -206,6 +209,10 @@ def exact_dedup(docs: DataFrame, memory: int = MEMORY, digest: Callable[[bytes],
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with all their columns, one document of each group of equal texts."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """``docs`` with all their columns, whatever their names, one document of each group of equal texts.
+
+    Rows that share the doc_id of one that stays, stay with it; null texts and empty ones are a group.
+    """
+    key = unused(docs, "_kept_id")
+    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept[key]), "left_semi")

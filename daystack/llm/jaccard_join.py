@@ -12,8 +12,9 @@ so a set with more of them than its prefix holds is done.  Links give components
 work: groups of near copies join up by stars around one member each, and from then on only frequent
 enough encounters between different components are verified, all of them.
 
-Edge cases: a text without words, empty or null, has no shingles and is linked with nothing; equal
-texts and repeated rows share a component; an empty table gives an empty result; other columns are
+Edge cases: a text without words, empty or null, has no shingles and is linked with nothing; a text of
+any length gives all its shingles; equal texts and repeated rows share a component; a component is named by its
+smallest doc_id, so there are no ties; an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daystack.llm.common import cut, look_up, release, texts
+from daystack.llm.common import cut, look_up, release, texts, unused
 from daystack.llm.components import components
 from daystack.llm.shingles import SIGNATURE, WORDS, mixed, shingle_set, signature
 
@@ -320,7 +321,9 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 def keep_one_similar(docs: DataFrame) -> DataFrame:
     """``docs`` with all their columns, one document of each component: the one with the smallest doc_id.
 
-    Rows without a doc_id are in no component and stay.
+    Rows without a doc_id are in no component and stay; so do rows without words, and rows that share
+    the doc_id of one that stays.  Columns may have any names.
     """
-    kept = jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    key = unused(docs, "_kept_id")
+    kept = jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept[key]), "left_semi")
