@@ -10,8 +10,9 @@ need the next document, rows are dealt by ranges of doc_id, as many as tasks; ea
 row that follows its last one, so texts move once and no window spans all rows.
 
 Edge cases: a null or empty text has an empty fingerprint, which is alike (1.0) only to another empty
-one; equal texts have equal fingerprints; a null doc_id comes first; rows that share a doc_id are told
-apart by text; a lone document is its own next; an empty table gives an empty result; other columns
+one; texts of any length are read whole, as one row's terms; equal texts have equal fingerprints; a null
+doc_id comes first, also as what follows the last one; rows that share a doc_id are ordered by text, and
+which of them comes first makes no difference where the texts are equal; a lone document is its own next; an empty table gives an empty result; other columns
 are ignored.
 """
 
@@ -84,30 +85,34 @@ def as_text(a: str) -> Column:
     return F.array_join(F.transform(a, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
 
 
+def _numbers(values: list[int]) -> Column:
+    """An array of longs, written as one string: the planner gets a single value however many there are."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def bucket_of(doc_id: str, bounds: list[int]) -> Column:
+    """How many of the ascending ``bounds`` are not above ``doc_id``, by bisection; 0 for null."""
+    if not bounds:
+        return F.lit(0)
+    steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
+    table = _numbers(bounds)
+    return F.aggregate(_numbers(steps).cast("array<int>"), F.lit(0), lambda at, step: F.when(F.get(table, at + step - 1) <= F.col(doc_id), at + step).otherwise(at))
+
+
 def ranged(docs: DataFrame, ranges: int) -> DataFrame:
     """doc_id, text, bucket, guard: rows by ranges of doc_id in order, each range with a copy (guard) of what follows it.
 
-    Ranges are of equal width; those with more than their share of rows are cut again.  Tables of as
-    many rows as there are ranges are broadcast.
+    Bounds of ranges are quantiles of doc_id, so that ranges are even however ids lie; the driver and
+    the broadcast table get one row for each range.
     """
     rows = texts(docs)
-    low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    low, high = low or 0, high or 0
-    width = (high - low) // ranges + 1
-    wide = F.coalesce(F.col("doc_id"), F.lit(low)).cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
-    rows = rows.withColumn("_off", wide).withColumn("_range", F.floor(F.col("_off") / F.lit(width).cast("decimal(20,0)")).cast("int"))
-    counts = rows.groupBy("_range").count()
-    share = max(1, n // ranges)
-    parts = F.least(F.lit(ranges), F.ceil(F.col("count") / share)).cast("int")
-    ahead = Window.orderBy("_range")
-    table = counts.select("_range", parts.alias("_parts")).withColumn("_base", F.sum("_parts").over(ahead) - F.col("_parts"))
-    rows = rows.join(F.broadcast(table), "_range")
-    fine = (F.col("_off") - F.col("_range") * F.lit(width).cast("decimal(20,0)")) * F.col("_parts") / F.lit(width).cast("decimal(20,0)")
-    rows = rows.select("doc_id", "text", (F.col("_base") + F.floor(fine).cast("int")).cast("long").alias("bucket"))
+    quantiles = [k / ranges for k in range(1, ranges)] or [0.5]
+    found = rows.agg(F.percentile_approx("doc_id", quantiles, max(10_000, 2 * ranges))).first()[0] if ranges > 1 else []
+    rows = rows.withColumn("bucket", bucket_of("doc_id", sorted(set(found or []))))
     order = Window.orderBy("bucket")
-    firsts = rows.groupBy("bucket").agg(F.min("doc_id").alias("_first"))
+    firsts = rows.groupBy("bucket").agg(F.min(F.struct("doc_id")).alias("_first"))  # a null id is the least
     last = F.max("bucket").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    firsts = firsts.select("_first", F.coalesce(F.lag("bucket").over(order), last).alias("_before"))
+    firsts = firsts.select(F.col("_first.doc_id").alias("_first"), F.coalesce(F.lag("bucket").over(order), last).alias("_before"))
     both = rows.join(F.broadcast(firsts), F.col("doc_id").eqNullSafe(F.col("_first")), "left")
     one = lambda b, g: F.struct(F.col(b).alias("bucket"), F.lit(g).alias("guard"))
     places = F.when(F.col("_before").isNull(), F.array(one("bucket", False))).otherwise(F.array(one("bucket", False), one("_before", True)))
