@@ -5,8 +5,12 @@ the search runs on these and its answer is a list of patterns (which lengths sha
 often).  Pieces are then ranked within their length, wherever they are, and take the patterns' places
 in order; no text moves, and no length is too frequent.
 
-Edge cases: a null or empty text is the end token alone; documents with equal ids or equal texts are
-packed one by one; an empty table gives an empty result; other columns are ignored.
+Bounds of the search are the parameters below: nodes for each number of sequences that is tried, and
+steps for listing a node's fillings.  Within them it is exact; beyond, the best packing so far stands.
+
+Edge cases: a null or empty text is the end token alone; a text of any length is encoded whole, then cut;
+documents with equal ids or equal texts are packed one by one, and which of equal pieces comes first is
+settled by doc_id (null first), piece and ids; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from array import array
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +33,12 @@ CAPACITY = 4096
 END_ID = 1
 #: Words of which a task remembers the ids.
 REMEMBERED = 400_000
-#: Branches at each depth of a filling; deeper levels take the largest that fits.
+#: Branches at each depth of a node's first fillings; deeper levels take the largest that fits.
 BRANCHES = (4, 3, 2)
-#: Nodes that the search may visit for each number of sequences that it tries, for each length there is.
-NODES_PER_LENGTH = 4
+#: Nodes that the search may visit for each number of sequences that it tries: for each length there is, and besides.
+NODES_PER_LENGTH, NODES = 4, 2000
+#: Steps that listing all of a node's fillings may take, once its first ones have failed, and how many count as a node.
+LISTED, LISTED_PER_NODE = 5_000, 20
 
 Pattern = tuple[int, ...]
 
@@ -53,7 +60,8 @@ class WordIds(dict):
     """Bytes of a word -> its ids as little-endian 32-bit numbers, encoded when first asked for.
 
     The vocabulary drops white space and never joins words, so a text's ids are its words' ids.
-    Likewise a run of punctuation after a letter or digit is a word of its own.
+    Likewise a run of punctuation after a letter or digit is a word of its own; what a letter is, is
+    asked once it is composed and in lower case, as some letters then end with a mark.
     """
 
     MARKS = b"!$%&*#.,;:?"
@@ -73,7 +81,7 @@ class WordIds(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         core = word.rstrip(self.MARKS)
-        if core and core != word and core.decode()[-1].isalnum():
+        if core and core != word and normalize("NFC", core.decode()[-1]).lower()[-1].isalnum():
             ids = self[core] + self[word[len(core) :]]
         else:
             ids = self.encode(word)
@@ -239,31 +247,72 @@ class Completion:
             if a != room - a or have[a] > 1:
                 found[(a, room - a)] = 0
 
-        def dominated(filling: Pattern, waste: int) -> bool:
-            """Some piece left over could stand in for one or two pieces here, within the waste."""
-            used = Counter(filling)
-            parts = {(x,): x for x in used} | ({(filling[0], x): filling[0] + x for x in filling[1:]} if len(filling) > 1 else {})
-            for part, size in parts.items():
-                low = size + (len(part) == 1)
-                at = bisect_right(lengths, size + waste) - 1
-                if at >= 0 and lengths[at] >= low and have[lengths[at]] > used[lengths[at]]:
-                    return True
-            return False
-
         best = sorted(((w, (largest, *f)) for f, w in found.items()), key=lambda x: (x[0], [-y for y in x[1]]))
-        kept = [x for x in best if x[0] == 0 or not dominated(x[1][1:], x[0])]
+        kept = [x for x in best if x[0] == 0 or not self._dominated(have, lengths, x[1][1:], x[0])]
         return kept or best[:1]
 
+    def _dominated(self, have: np.ndarray, lengths: list[int], filling: Pattern, waste: int) -> bool:
+        """Some piece left over could stand in for one or two pieces here, within the waste."""
+        used = Counter(filling)
+        parts = {(x,): x for x in used} | {(a, b): a + b for k, a in enumerate(filling) for b in filling[k + 1 :]}
+        for part, size in parts.items():
+            low = size + (len(part) == 1)
+            at = bisect_right(lengths, size + waste) - 1
+            if at >= 0 and lengths[at] >= low and have[lengths[at]] > used[lengths[at]]:
+                return True
+        return False
+
+    def all_fillings(self, largest: int, most_waste: int) -> tuple[list[tuple[int, Pattern]], int]:
+        """All undominated (waste, pattern) with at most so much waste, the least first, and the steps that it took.
+
+        Fillings that take other pieces though one more would fit are dominated.  Where listing takes
+        ``LISTED`` steps it ends with what it has.
+        """
+        have = self.counts.copy()
+        have[largest] -= 1
+        lengths = np.flatnonzero(have).tolist()
+        room = self.capacity - largest
+        left = {x: int(have[x]) for x in lengths}
+        below = [0]
+        for x in lengths:
+            below.append(below[-1] + x * left[x])
+        found: list[tuple[int, Pattern]] = []
+        steps = 0
+
+        def fill(space: int, k: int, taken: Pattern) -> None:
+            """``k``: lengths[:k] may still be taken."""
+            nonlocal steps
+            steps += 1
+            if steps > LISTED or space - below[k] > most_waste:
+                return
+            while k and lengths[k - 1] > space:
+                k -= 1
+            if not k:
+                if space <= most_waste and not any(x <= space and left[x] for x in lengths):
+                    found.append((space, (largest, *taken)))
+                return
+            x = lengths[k - 1]
+            most = min(left[x], space // x)
+            for n in range(most, -1, -1):
+                left[x] -= n
+                fill(space - n * x, k - 1, taken + (x,) * n)
+                left[x] += n
+
+        fill(room, len(lengths), ())
+        found.sort(key=lambda f: (f[0], [-y for y in f[1]]))
+        return [f for f in found if f[0] == 0 or not self._dominated(have, lengths, f[1][1:], f[0])], steps
+
     def search(self, sequences: int, nodes: int, fewer: bool = False) -> Counter[Pattern] | None:
         """A packing into ``sequences``, if one turns up within ``nodes``.
 
         A filling is used as often as it can be; with ``fewer`` also less often, and then no more of it
-        goes to pieces of this length.
+        goes to pieces of this length.  A node first tries a few fillings, and all others once these fail.
         """
         spare = sequences * self.capacity - self.total
         if spare < 0:
             return None
-        path: list[list] = []  # fillings, next, pattern, times, waste, repeats left, largest, patterns that are settled
+        # fillings, next, pattern, times, waste, repeats left, largest, patterns that are settled, whether all are listed
+        path: list[list] = []
         wasted, largest = 0, self.capacity
         while True:
             while largest and not self.counts[largest]:
@@ -278,7 +327,7 @@ class Completion:
             if fewer and path and path[-1][6] == largest:
                 settled = path[-1][7] | {path[-1][2]}
                 fillings = [x for x in fillings if x[1] not in settled]
-            path.append([fillings, 0, (), 0, 0, iter(()), largest, settled])
+            path.append([fillings, 0, (), 0, 0, iter(()), largest, settled, False])
             while True:  # take the next filling, here or further up
                 frame = path[-1]
                 pattern = frame[2]
@@ -287,7 +336,15 @@ class Completion:
                 wasted -= frame[4]
                 frame[2:5] = [(), 0, 0]
                 times = next(frame[5], 0)
-                while not times and frame[1] < len(frame[0]):
+                while not times:
+                    if frame[1] == len(frame[0]):
+                        if frame[8] or nodes <= 0:
+                            break
+                        more, steps = self.all_fillings(frame[6], spare - wasted)
+                        tried, frame[8] = {x[1] for x in frame[0]} | frame[7], True
+                        frame[0], frame[1] = [x for x in more if x[1] not in tried], 0
+                        nodes -= steps // LISTED_PER_NODE
+                        continue
                     waste, pattern = frame[0][frame[1]]
                     frame[1] += 1
                     most = min(int(self.counts[length]) // k for length, k in Counter(pattern).items())
@@ -330,7 +387,7 @@ def fill_sequences(counts: dict[int, int], capacity: int = CAPACITY, nodes_per_l
         return Counter()
     incumbent = best_fit(counts, capacity)
     least, most = lower_bound(counts, capacity), sum(incumbent.values())
-    nodes = nodes_per_length * len(counts) + 2000
+    nodes = nodes_per_length * len(counts) + NODES
     # a search that fails may have run out of nodes, so that small gaps are tried one by one
     sequences = least
     while least < most:
@@ -369,10 +426,12 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Data
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     cuts = cut(pieces(docs, tokenizer_path, capacity))
     counts = {r["length"]: r["count"] for r in cuts.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    keys, firsts, each, offsets, lengths = places(fill_sequences(counts, capacity))
+    # a run for each length of each pattern: some thousands, and fewer than there are sequences
+    runs = docs.sparkSession.sparkContext.broadcast(places(fill_sequences(counts, capacity)))
     ranked = rank_rows(cuts, ["length"], ["doc_id", "piece", "ids_crc32"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, firsts, each, offsets, lengths = runs.value
         for b in batches:
             if not b.num_rows:
                 continue
