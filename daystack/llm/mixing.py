@@ -1,11 +1,11 @@
 """Mixing sources to target weights: subset-sum budget fitting.
 
 Each source's target comes from its weight, a share of all words and a cap on repeats.  Whole rounds
-of a source come first; what is left of its target is met exactly, if it can be, by choosing how many
-documents of each size get one round more: a share of every size, then a bounded knapsack over the
-sizes for the rest.  Seeded hashes say which documents of a size these are.
+of a source come first; what is left of its target is met exactly, or as close below as any choice comes,
+by choosing how many documents of each size get one round more: a bounded knapsack over the counts of
+sizes, of which large budgets first take shares.  Seeded hashes say which documents of a size these are.
 
-Edge cases: a null text has size 0; a null source is a source of its own, after all others; a source
+Edge cases: texts of any length are counted whole; a null text has size 0; a null source is a source of its own, after all others; a source
 without words has target 0; documents of equal size are told apart by seed, then by doc_id, so reruns
 agree; rows that share a doc_id are mixed one by one; an empty table gives an empty result.
 """
@@ -20,14 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daystack.llm.common import cut, look_up, rank_rows, texts
+from daystack.llm.common import cut, look_up, rank_rows, texts, unused
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (3, 1, 2)
 #: The mix's words as a share of all words, and the most that a source, and a document, may repeat.
 SHARE, MOST = 1.5, 2
-#: The knapsack runs on budgets up to this many words; sizes' shares bring larger ones below it.
-KNAPSACK = 1 << 17
+#: The knapsack first looks at this many sums; where none is the budget, at twice as many, until it would hold so many bits.
+KNAPSACK, MOST_BITS = 1 << 17, 1 << 31
+#: Numbers that the knapsack holds for a length, about: powers of two up to how many fit.
+STEPS = 12
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -57,46 +59,71 @@ def targets(by_source: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: flo
     return out.withColumn("target", F.least(F.col("_weight") * F.lit(level), cap)).drop("_weight")
 
 
-def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = 0) -> np.ndarray:
-    """How many of each length to take so that they sum to ``budget``, or as close below as found.
-
-    Lengths are positive and distinct.  Shares of all lengths leave less than a word of each length;
-    further ones go while the rest is above the knapsack's range, largest first where they fit.
-    """
-    lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
-    total = int((lengths * counts).sum())
-    if budget >= total:
-        return counts.copy()
-    take = np.array([int(n) * budget // total for n in counts], np.int64)
-    rest = budget - int((take * lengths).sum())
-    order = np.random.default_rng(seed).permutation(len(lengths))
-    for k in order:
-        if rest <= KNAPSACK:
-            break
-        if take[k] < counts[k] and lengths[k] <= rest:
-            take[k] += 1
-            rest -= int(lengths[k])
-    if not rest:
-        return take
-    mask = (1 << (rest + 1)) - 1
+def _knapsack(lengths: np.ndarray, most: np.ndarray, budget: int) -> tuple[np.ndarray, int]:
+    """(how many of each length, what they sum to): the largest sum up to ``budget``, by a bit for each sum that can be had."""
+    mask = (1 << (budget + 1)) - 1
     reach, steps = 1, []
-    for k in order:
-        left = min(int(counts[k] - take[k]), rest // int(lengths[k]))
+    for k, (length, left) in enumerate(zip(lengths.tolist(), most.tolist(), strict=True)):
+        left = min(left, budget // length)
         block = 1
-        while left > 0:
+        while left > 0 and not reach >> budget & 1:
             n = min(block, left)
             steps.append((k, n, reach))
-            reach |= (reach << (n * int(lengths[k]))) & mask
+            reach |= (reach << (n * length)) & mask
             left -= n
             block *= 2
-        if reach >> rest & 1:
-            break
-    at = reach.bit_length() - 1
+    at = best = reach.bit_length() - 1
+    take = np.zeros(len(lengths), np.int64)
     for k, n, before in reversed(steps):
         if not before >> at & 1:
             take[k] += n
             at -= n * int(lengths[k])
-    return take
+    return take, best
+
+
+def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = 0) -> np.ndarray:
+    """How many of each length to take so that they sum to ``budget``, or to the most below it that can be had.
+
+    Lengths are positive and distinct.  Large budgets are met in part by shares of all lengths, from
+    which enough of each are held back for the knapsack on the rest; it looks at twice the sums until
+    it ends on the budget or has held back all that can matter: of an integer solution nearest to the
+    shares no more than thrice the largest length differ from them, in units of documents, since else
+    some of what is added would weigh as much as some of what is taken away.  Only where that many sums
+    of long documents of few lengths would not fit in memory (``MOST_BITS``), it ends with the best it saw.
+    """
+    lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
+    if not len(lengths):
+        return counts.copy()
+    unit = int(np.gcd.reduce(lengths))
+    lengths, budget = lengths // unit, max(0, budget) // unit
+    total = sum(int(a) * int(n) for a, n in zip(lengths, counts, strict=True))
+    if budget >= total:
+        return counts.copy()
+    order = np.random.default_rng(seed).permutation(len(lengths))
+    lengths, counts = lengths[order], counts[order]
+    share = np.array([int(n) * budget // total for n in counts], np.int64)
+    enough = 3 * int(lengths.max()) + 1
+    most = MOST_BITS // (STEPS * len(lengths))
+    window, best, found = max(1, min(budget, KNAPSACK)), -1, share
+    while True:
+        hold = np.minimum(window // (len(lengths) * lengths) + 1, enough)
+        base = np.maximum(share - hold, 0)
+        rest = budget - int((base * lengths).sum())
+        at = 0
+        while rest > 2 * window and at < len(lengths):  # many lengths hold back more than the window: some give it up
+            back = min(int(share[at] - base[at]), (rest - window) // int(lengths[at]))
+            base[at] += back
+            rest -= back * int(lengths[at])
+            at += 1
+        take, got = _knapsack(lengths, counts - base, rest)
+        if budget - rest + got > best:
+            best, found = budget - rest + got, base + take
+        if best == budget or not base.any() or 2 * window > most or (at == 0 and (hold >= np.minimum(enough, share)).all()):
+            break
+        window *= 2
+    out = np.zeros_like(found)
+    out[order] = found
+    return out
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = 0) -> DataFrame:
@@ -127,10 +154,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: ``docs`` with all their columns, each as often as the mix takes it.
 
-    A document without words is in no one's way and stays once.  Rows that share a doc_id get the
-    rounds of one of them.
+    A document without words, empty or null, is in no one's way and stays once.  Rows that share a doc_id
+    get the rounds of one of them.  Columns may have any names.
     """
-    plan = mix(docs, **how).groupBy("doc_id").agg(F.max(F.when(F.col("size") == 0, 1).otherwise(F.col("copies"))).alias("_copies"))
-    plan = plan.where("_copies > 0").withColumnRenamed("doc_id", "_doc")
-    out = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_doc"))).withColumn("_round", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return out.select(*[docs[c] for c in docs.columns])
+    doc, copies = unused(docs, "_doc"), unused(docs, "_copies")
+    plan = mix(docs, **how).groupBy("doc_id").agg(F.max(F.when(F.col("size") == 0, 1).otherwise(F.col("copies"))).alias(copies))
+    plan = plan.where(F.col(copies) > 0).withColumnRenamed("doc_id", doc)
+    out = docs.join(plan, docs["doc_id"].eqNullSafe(plan[doc]))
+    return out.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(1), plan[copies].cast("int"))).alias(unused(docs, "_round"))).select(*docs.columns)
