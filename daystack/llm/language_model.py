@@ -1,18 +1,24 @@
 """Scoring texts with a log-bilinear neural language model, beside an add-one unigram model.
 
-The neural model predicts a word's class from the two before it: frequent words are classes of their
-own, others share one by how they end.  A word's chance within its class comes from its count, with one
-part for all words never seen, so that log-probabilities are normalised.  Training is by
-noise-contrastive estimation in numpy, on triples drawn from the counts of all triples of classes in
-the training texts; these are at most ``CLASSES`` cubed numbers, whatever the input.
+The model predicts a word's class from the classes of the two words before it, and then the word from
+its class and the class before it.  The most frequent words are classes of their own; others share a
+class by how they end, and in it each word of the vocabulary is an outcome of its own.  Both steps are
+log-bilinear, trained by noise-contrastive estimation in numpy, and normalised by batched matrix
+products over all outcomes.  A class's last outcome stands for all words outside the vocabulary; these
+share it by their counts, with one part for all words never seen.
+
+Training is on counts over all training texts: of triples of classes, and of pairs of a class and a
+word.  The vocabulary is every word that occurs ``LEAST`` times, up to ``VOCABULARY``, so it grows with the corpus up to
+there; which words these are, and so every score, does not depend on how rows are dealt to tasks.
 
 Counts of single words have no such bound and stay distributed: each text's words travel once, packed
 by ranges of hashes, to where all counts of a range meet; what goes back is a sum for each text and
-range.  Words are told apart by 56 bits of a hash and the range.
+range.  Ranges are as many as their bytes ask for.  Words are told apart by 56 bits of a hash and the range.
 
-Edge cases: a null or empty text is the end token alone; rows that share doc_id and text are scored
-alike, and counted each; a null doc_id is in no held-out part, so its text trains; without training
-texts every word is unknown; an empty table gives an empty result; other columns are ignored.
+Edge cases: a null or empty text is the end token alone; texts of any length are scored whole; rows that
+share doc_id and text are scored alike, and counted each; ties in frequency go to the word that sorts
+first; a null doc_id is in no held-out part, so its text trains; without training texts every word is
+unknown; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,31 +39,59 @@ from daystack.llm.common import cut, remainder, texts
 #: Classes, of which so many are frequent words; the next is the end token, the others go by endings.
 CLASSES, FREQUENT = 128, 80
 END = FREQUENT
-#: A word more frequent than this somewhere may be a class of its own.
-HEAVY = 1 / 2000
+#: Words with outcomes of their own: so many at most, and how often one occurs in training at least.
+VOCABULARY, LEAST = 16_384, 32
 #: Words of which a task holds counts before it sends them on.
 HELD = 1_000_000
-#: The model: numbers a class, triples a step, steps, noise words a step, rate.
+#: Bytes of packed words in a range, about, and of one word.
+RANGE_BYTES, WORD_BYTES = 16 << 20, 13
+#: The model of classes: numbers a class, triples a step, steps, noise words a step, rate.
 WIDTH, STEP, STEPS, NOISE, RATE = 32, 4096, 1500, 64, 0.08
-#: Slices in which counts of triples are summed.
+#: The model of words: noise words for each word, rounds over all counts, rate, decay.
+WORD_NOISE, ROUNDS, WORD_RATE, DECAY = 8, 200, 0.3, 1e-7
+#: Slices in which counts are summed.
 SLICES = 16
+#: The kind of a word that is an outcome of its own.
+OWN = 255
 
 
 def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-class Classes(dict):
-    """Word (bytes) -> class; endings are remembered, words are not."""
+def ending_class(word: bytes) -> int:
+    return END + 1 + xxh3_64_intdigest(word[-2:]) % (CLASSES - END - 1)
+
+
+class Vocabulary:
+    """Numbers of words: frequent ones from 0, then classes, then the other words; ``words`` are sorted by frequency."""
+
+    def __init__(self, words: list[bytes]) -> None:
+        self.frequent, self.others = words[:FREQUENT], words[FREQUENT:]
+        #: Of each number its class, and its place among the outcomes within classes; the last place is certain.
+        self.classes = np.array([*range(CLASSES), *map(ending_class, self.others)], np.int64)
+        own = len(self.others)
+        rest = np.concatenate([np.full(END + 1, own + CLASSES), own + np.arange(END + 1, CLASSES)])
+        self.places = np.concatenate([rest, np.arange(own)])
+        #: Classes of the outcomes within classes: words, then one for the rest of each class.
+        self.outcomes = np.concatenate([self.classes[CLASSES:], np.arange(CLASSES)])
+
+    def numbers(self) -> Numbers:
+        return Numbers(self)
+
 
-    def __init__(self, frequent: list[bytes]) -> None:
-        super().__init__({w: k for k, w in enumerate(frequent)})
+class Numbers(dict):
+    """Word (bytes) -> number, in one task; endings are remembered, words outside the vocabulary are not."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        super().__init__({w: k for k, w in enumerate(vocabulary.frequent)})
+        self.update({w: CLASSES + k for k, w in enumerate(vocabulary.others)})
         self.endings: dict[bytes, int] = {}
 
     def __missing__(self, word: bytes) -> int:
         end = word[-2:]
         if (c := self.endings.get(end)) is None:
-            c = self.endings[end] = END + 1 + xxh3_64_intdigest(end) % (CLASSES - END - 1)
+            c = self.endings[end] = ending_class(word)
         return c
 
     def of(self, words: list[bytes]) -> np.ndarray:
@@ -67,34 +101,50 @@ class Classes(dict):
 # ---------------------------------------------------------------- counting
 
 
-def frequent_words(rows: DataFrame, most: int = FREQUENT) -> list[bytes]:
-    """Up to ``most`` words: of those that take a share of HEAVY where they are read, the most frequent there."""
+def word_counts(rows: DataFrame) -> DataFrame:
+    """word, n: how often each word occurs in ``rows``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[bytes] = Counter()
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], ["word", "n"])
+            found.clear()
+
         for b in batches:
-            found: Counter[bytes] = Counter()
             for t in b.column(1).to_pylist():
                 found.update(words_of(t))
-            least = HEAVY * found.total()
-            some = [(w, n) for w, n in found.items() if n >= least and n > 1]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())], ["word", "n"])
+            if len(found) > HELD // 4:
+                yield from out()
+        yield from out()
 
-    found = rows.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return [bytes(r["word"]) for r in found.collect()]
+    return rows.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def triple_counts(rows: DataFrame, frequent: list[bytes]) -> np.ndarray:
-    """Counts of (class before last, last class, class) over ``rows``; texts begin as after two ends."""
-    size = CLASSES**3
-    width = size // SLICES
+def vocabulary_of(counts: DataFrame, most: int = VOCABULARY, least: int = LEAST) -> Vocabulary:
+    """The most frequent words, and of those not so frequent the ones that occur ``least`` times."""
+    top = counts.orderBy(F.desc("n"), "word").limit(most).collect()
+    return Vocabulary([bytes(r["word"]) for k, r in enumerate(top) if k < FREQUENT or r["n"] >= least])
+
+
+def class_counts(rows: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Counts over ``rows``: of (class before last, last class, class), and of (last class, outcome within its class).
+
+    Texts begin as after two ends.
+    """
+    triples, places = CLASSES**3, len(vocabulary.outcomes) + 1
+    size = triples + CLASSES * places
+    width = -(-size // SLICES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, total = Classes(frequent), np.zeros(size, np.int64)
+        numbers, total = vocabulary.numbers(), np.zeros(size, np.int64)
         for b in batches:
             for t in b.column(1).to_pylist():
-                s = np.concatenate([[END, END], classes.of(words_of(t)), [END]])
-                keys = (s[:-2] * CLASSES + s[1:-1]) * CLASSES + s[2:]
-                np.add.at(total, keys, 1)
+                s = np.concatenate([[END, END], numbers.of(words_of(t)), [END]])
+                c = vocabulary.classes[s]
+                np.add.at(total, (c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], 1)
+                np.add.at(total, triples + c[1:-1] * places + vocabulary.places[s[2:]], 1)
         at = np.flatnonzero(total)
         bounds = np.searchsorted(at, np.arange(SLICES + 1) * width)
         for k in range(SLICES):
@@ -113,10 +163,10 @@ def triple_counts(rows: DataFrame, frequent: list[bytes]) -> np.ndarray:
         return pa.table({"slice": pa.array([table.column("slice")[0].as_py()], pa.int32()), "blob": pa.array([blob], pa.binary())})
 
     out = np.zeros(size, np.int64)
-    for r in rows.mapInArrow(run, "slice int, blob binary").groupBy("slice").applyInArrow(add, "slice int, blob binary").collect():
+    for r in rows.mapInArrow(run, "slice int, blob binary").groupBy("slice").applyInArrow(add, "slice int, blob binary").toLocalIterator():
         n = len(r["blob"]) // 12
         out[r["slice"] * width + np.frombuffer(r["blob"], "<u4", n)] = np.frombuffer(r["blob"], "<i8", n, 4 * n)
-    return out.reshape(CLASSES, CLASSES, CLASSES)
+    return out[:triples].reshape(CLASSES, CLASSES, CLASSES), out[triples:].reshape(CLASSES, places)[:, :-1]
 
 
 FORWARD = ("doc", "<i8"), ("crc", "<u4"), ("train", "u1"), ("count", "<u4")
@@ -156,15 +206,16 @@ def unpack_counts(blob: bytes) -> list[np.ndarray]:
     return [*out, wide.view("<u8").ravel(), np.frombuffer(blob, "<u4", m, at).astype(np.int64), np.frombuffer(blob, "u1", m, at + 4 * m).astype(np.int64)]
 
 
-def word_sums(rows: DataFrame, frequent: list[bytes], ranges: int) -> DataFrame:
-    """doc_id, crc, logs (sum over the text's words of log10(count + 1)), known (its words that training has).
+def word_sums(rows: DataFrame, vocabulary: Vocabulary, ranges: int) -> DataFrame:
+    """doc_id, crc, logs (sum over the text's words of log10(count + 1)), rest (that of words outside the vocabulary), known (its words that training has).
 
-    One further row has, in ``known_words``, how many distinct words of each class training has, and in
-    ``logs`` how many words in all.  ``rows``: doc_id, text, train.
+    One further row has, in ``seen``, how many words training has of each class outside the vocabulary,
+    in ``distinct`` how many different ones, in ``logs`` how many words in all, and in ``known`` how many
+    different ones.  ``rows``: doc_id, text, train.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = Classes(frequent)
+        numbers = vocabulary.numbers()
         held: list[tuple] = []
         n = 0
 
@@ -180,7 +231,8 @@ def word_sums(rows: DataFrame, frequent: list[bytes], ranges: int) -> DataFrame:
                     continue
                 h = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
                 h, first, count = np.unique(h, return_index=True, return_counts=True)
-                kind = classes.of([words[k] for k in first.tolist()])
+                kind = numbers.of([words[k] for k in first.tolist()])
+                kind = np.where((kind < END) | (kind >= CLASSES), OWN, kind)
                 held.append((doc_id or 0, zlib.crc32(text.encode()), train, h, count, kind))
                 n += len(h)
                 if n > HELD:
@@ -189,6 +241,7 @@ def word_sums(rows: DataFrame, frequent: list[bytes], ranges: int) -> DataFrame:
         yield from out()
 
     def meet(table: pa.Table) -> pa.Table:
+        r = table.column("r")[0].as_py()
         parts = [unpack_counts(x) for x in table.column("blob").to_pylist()]
         doc, crc, train, each, hashes, counts, kinds = (np.concatenate([p[k] for p in parts]) for k in range(7))
         del parts
@@ -199,43 +252,50 @@ def word_sums(rows: DataFrame, frequent: list[bytes], ranges: int) -> DataFrame:
         seen = np.add.reduceat((counts * train[owner])[order], starts)
         c = np.empty(len(t), np.int64)
         c[order] = np.repeat(seen, np.diff(np.append(starts, len(t))))
-        logs = np.bincount(owner, counts * np.log10(c + 1.0), len(doc))
+        each_log = counts * np.log10(c + 1.0)
+        logs = np.bincount(owner, each_log, len(doc))
+        rest = np.bincount(owner, each_log * (kinds != OWN), len(doc))
         known = np.bincount(owner, counts * (c > 0), len(doc)).astype("<u4")
-        vocabulary = np.bincount(kinds[order][starts][seen > 0], minlength=CLASSES).astype("<i8")
+        kind = kinds[order][starts]
+        classes = np.bincount(kind, seen, OWN + 1)[:CLASSES], np.bincount(kind[seen > 0], minlength=OWN + 1)[:CLASSES]
+        totals = np.concatenate([[seen.sum(), (seen > 0).sum()], *classes]).astype("<i8")
         _, first = np.unique(np.stack([doc, crc.astype(np.int64)]), axis=1, return_index=True)  # rows that repeat
         group = doc[first] % ranges
         sort = np.argsort(group, kind="stable")
         first, group = first[sort], group[sort]
         bounds = np.searchsorted(group, np.arange(ranges + 1))
-        out = [(-1, np.float64(seen.sum()).tobytes() + vocabulary.tobytes())]
+        out = [(ranges, totals.tobytes())]
         for g, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
             if lo < hi:
                 k = first[lo:hi]
-                out.append((g, doc[k].astype("<i8").tobytes() + crc[k].astype("<u4").tobytes() + logs[k].astype("<f8").tobytes() + known[k].tobytes()))
-        return pa.table({"g": pa.array([g for g, _ in out], pa.int64()), "blob": pa.array([x for _, x in out], pa.binary())})
+                out.append((g, b"".join((doc[k].astype("<i8").tobytes(), crc[k].astype("<u4").tobytes(), logs[k].astype("<f8").tobytes(), rest[k].astype("<f8").tobytes(), known[k].tobytes()))))
+        return pa.table({"g": pa.array([g for g, _ in out], pa.int32()), "r": pa.array([r] * len(out), pa.int32()), "blob": pa.array([x for _, x in out], pa.binary())})
+
+    names = ["doc_id", "crc", "logs", "rest", "known", "seen", "distinct"]
+    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
 
     def add(table: pa.Table) -> pa.Table:
-        blobs = table.column("blob").to_pylist()
-        names = ["doc_id", "crc", "logs", "known", "known_words"]
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.int64()))
-        if table.column("g")[0].as_py() < 0:
-            total = sum(np.frombuffer(x, "<f8", 1)[0] for x in blobs)
-            vocabulary = sum(np.frombuffer(x, "<i8", CLASSES, 8) for x in blobs)
-            return pa.table([pa.array([v], t) for v, t in zip((None, None, float(total), 0, vocabulary.tolist()), kinds, strict=True)], names)
-        cols: list[list[np.ndarray]] = [[], [], [], []]
+        blobs = [x for _, x in sorted(zip(table.column("r").to_pylist(), table.column("blob").to_pylist(), strict=True))]  # so that sums come out alike
+        if table.column("g")[0].as_py() == ranges:
+            total = sum(np.frombuffer(x, "<i8") for x in blobs)
+            row = (None, None, float(total[0]), None, int(total[1]), total[2 : 2 + CLASSES].tolist(), total[2 + CLASSES :].tolist())
+            return pa.table([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names)
+        cols: list[list[np.ndarray]] = [[], [], [], [], []]
         for x in blobs:
-            n, at = len(x) // 24, 0
-            for col, kind in zip(cols, ("<i8", "<u4", "<f8", "<u4"), strict=True):
+            n, at = len(x) // 32, 0
+            for col, kind in zip(cols, ("<i8", "<u4", "<f8", "<f8", "<u4"), strict=True):
                 col.append(np.frombuffer(x, kind, n, at))
                 at += n * np.dtype(kind).itemsize
-        doc, crc, logs, known = (np.concatenate(c) for c in cols)
+        doc, crc, logs, rest, known = (np.concatenate(c) for c in cols)
         keys, at = np.unique(np.stack([doc, crc.astype(np.int64)]), axis=1, return_inverse=True)
         at = at.ravel()
-        sums = (keys[0], keys[1], np.bincount(at, logs), np.bincount(at, known).astype(np.int64))
-        return pa.table([*[pa.array(v, t) for v, t in zip(sums, kinds, strict=False)], pa.nulls(len(keys[0]), kinds[4])], names)
+        sums = (keys[0], keys[1], np.bincount(at, logs), np.bincount(at, rest), np.bincount(at, known).astype(np.int64))
+        return pa.table([*[pa.array(v, t) for v, t in zip(sums, kinds, strict=False)], *[pa.nulls(len(keys[0]), k) for k in kinds[5:]]], names)
 
-    sent = rows.mapInArrow(send, "r int, blob binary").groupBy("r").applyInArrow(meet, "g long, blob binary")
-    return sent.groupBy("g").applyInArrow(add, "doc_id long, crc long, logs double, known long, known_words array<long>")
+    # ranges, and groups of texts, are numbers below ``ranges``: one task each
+    sent = rows.mapInArrow(send, "r int, blob binary").repartitionById(ranges, F.col("r")).groupBy("r").applyInArrow(meet, "g int, r int, blob binary")
+    sums = sent.repartitionById(ranges + 1, F.col("g")).groupBy("g")
+    return sums.applyInArrow(add, "doc_id long, crc long, logs double, rest double, known long, seen array<long>, distinct array<long>")
 
 
 # ---------------------------------------------------------------- the neural model
@@ -301,45 +361,88 @@ def train(triples: np.ndarray, seed: int = 0, steps: int = STEPS) -> LogBilinear
     return model
 
 
+def train_words(pairs: np.ndarray, outcomes: np.ndarray, seed: int = 0, rounds: int = ROUNDS) -> np.ndarray:
+    """Natural, normalised log-probabilities (last class, outcome) of each outcome within its class.
+
+    ``pairs``: counts of (last class, outcome); ``outcomes``: their classes.  Noise is the outcomes' own
+    frequency within their class.  As counts say all that there is to say about the texts, each round
+    takes the estimation's expectation over all words and all noise, by products of matrices.
+    """
+    rng = np.random.default_rng(seed)
+    counts = pairs.astype(np.float64)
+    unigram = counts.sum(axis=0) + 0.5
+    within = unigram / np.bincount(outcomes, unigram, CLASSES)[outcomes]
+    to_class = np.zeros((len(outcomes), CLASSES))
+    to_class[np.arange(len(outcomes)), outcomes] = 1
+    noise = WORD_NOISE * (counts @ to_class)[:, outcomes] * within
+    vectors, targets, bias = rng.normal(0, 0.1, (CLASSES, WIDTH)), rng.normal(0, 0.1, (len(outcomes), WIDTH)), np.log(within)
+    log_noise = np.log(WORD_NOISE * within)
+    scale = 1 / max(1.0, counts.sum())
+    squares = [np.full_like(p, 1e-12) for p in (vectors, targets, bias)]
+    for k in range(rounds):
+        odds = vectors @ targets.T + bias - log_noise
+        p = 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
+        g = (counts * (1 - p) - noise * p) * scale
+        rate = WORD_RATE * (1 - k / rounds) + 1e-3
+        for x, d, s in zip((vectors, targets, bias), (g @ targets, g.T @ vectors, g.sum(axis=0)), squares, strict=True):
+            d -= DECAY * x
+            s += d * d
+            x += rate * d / np.sqrt(s)
+    out = vectors @ targets.T + bias
+    top = np.full((CLASSES, CLASSES), -np.inf)
+    np.maximum.at(top.T, outcomes, out.T)
+    out -= top[:, outcomes]
+    return out - np.log(np.exp(out) @ to_class)[:, outcomes]
+
+
 # ---------------------------------------------------------------- the operator
 
 
-def score(docs: DataFrame) -> DataFrame:
+def score(docs: DataFrame, most: int = VOCABULARY) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
-    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = docs.sparkSession
     held = F.coalesce(remainder(7) == 2, F.lit(False))
     rows = texts(docs).withColumn("held_out", held)
     learned = rows.where("not held_out").drop("held_out")
-    frequent = frequent_words(learned)
-    triples = triple_counts(learned, frequent)
-    n_class = triples.sum(axis=(0, 1))
+    counts = cut(word_counts(learned))
+    vocabulary = vocabulary_of(counts, most)
+    triples, pairs = class_counts(learned, vocabulary)
     model = train(triples)
-    sums = cut(word_sums(rows.select("doc_id", "text", (~F.col("held_out")).cast("int").alias("train")), frequent, ranges))
-    total = sums.where("known_words is not null").select("logs", "known_words").first()
-    v_class = np.array(total["known_words"] if total else [0] * CLASSES, np.int64)
-    ends = int(n_class[END])
+    tables = (model.log_probabilities() / np.log(10)).astype(np.float32).ravel(), (train_words(pairs, vocabulary.outcomes) / np.log(10)).astype(np.float32)
+    # packed words are at most as many as there are words, about
+    n_words = counts.agg(F.sum("n")).first()[0] or 0
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_words * WORD_BYTES // RANGE_BYTES))
+    sums = cut(word_sums(rows.select("doc_id", "text", (~F.col("held_out")).cast("int").alias("train")), vocabulary, ranges))
+    total = sums.where("seen is not null").first()
+    seen, distinct = (np.array(total[c] if total else [0] * CLASSES, np.int64) for c in ("seen", "distinct"))
+    ends = int(triples[:, :, END].sum())
     n_train = int(total["logs"] if total else 0) + ends
-    v_train = int(v_class.sum()) + (ends > 0)
-    sized = np.log10(n_class + v_class + 1.0)  # what a rare word's count is a share of
-    apart = np.where(np.arange(CLASSES) < END, np.log10(n_class + 1.0), sized)
+    v_train = int(total["known"] if total else 0) + (ends > 0)
+    shared = np.log10(seen + distinct + 1.0)  # what the count of a word outside the vocabulary is a share of
+    shared[: END + 1] = 0
+    fixed = spark.sparkContext.broadcast((vocabulary, *tables, shared))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, table = Classes(frequent), (model.log_probabilities() / np.log(10)).astype(np.float32).ravel()
+        vocabulary, of_class, of_word, shared = fixed.value
+        numbers = vocabulary.numbers()
+        places = of_word.shape[1] + 1
+        of_word = np.concatenate([of_word, np.zeros((CLASSES, 1), np.float32)], axis=1).ravel()  # classes of one outcome
+        shared = np.concatenate([shared, np.zeros(len(vocabulary.others))])
         for b in batches:
             out = []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                s = np.concatenate([[END, END], classes.of(words_of(text)), [END]])
-                keys = (s[:-2] * CLASSES + s[1:-1]) * CLASSES + s[2:]
-                # the class's chance; a frequent word is all of its class, so its part of ``logs`` goes
-                part = float(table[keys].sum(dtype=np.float64)) - float(apart[s[2:-1]].sum())
-                out.append((doc_id, zlib.crc32(text.encode()), len(s) - 2, part))
+                s = np.concatenate([[END, END], numbers.of(words_of(text)), [END]])
+                c = vocabulary.classes[s]
+                part = of_class[(c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:]].sum(dtype=np.float64)
+                part += of_word[c[1:-1] * places + vocabulary.places[s[2:]]].sum(dtype=np.float64) - shared[s[2:]].sum()
+                out.append((doc_id, zlib.crc32(text.encode()), len(s) - 2, float(part)))
             if out:
                 cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)]
                 yield pa.RecordBatch.from_arrays([*cols, b.column(2)], ["doc_id", "crc", "n_tokens", "part", "held_out"])
 
     scored = rows.mapInArrow(run, "doc_id long, crc long, n_tokens long, part double, held_out boolean")
-    words = sums.where("known_words is null").select(F.col("doc_id").alias("_doc"), F.col("crc").alias("_crc"), "logs", "known")
+    words = sums.where("seen is null").select(F.col("doc_id").alias("_doc"), F.col("crc").alias("_crc"), "logs", "rest", "known")
     out = scored.join(words, (F.coalesce("doc_id", F.lit(0)) == F.col("_doc")) & (F.col("crc") == F.col("_crc")), "left")
-    logs = F.coalesce("logs", F.lit(0.0))
-    base = logs + F.lit(float(np.log10(ends + 1.0))) - F.col("n_tokens") * F.lit(float(np.log10(n_train + v_train + 1.0)))
-    return out.select("doc_id", "held_out", "n_tokens", (F.coalesce("known", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("part") + logs).alias("score"))
+    base = F.coalesce("logs", F.lit(0.0)) + F.lit(float(np.log10(ends + 1.0))) - F.col("n_tokens") * F.lit(float(np.log10(n_train + v_train + 1.0)))
+    known = F.coalesce("known", F.lit(0)) + F.lit(int(ends > 0))
+    return out.select("doc_id", "held_out", "n_tokens", known.alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("part") + F.coalesce("rest", F.lit(0.0))).alias("score"))
