@@ -6,10 +6,11 @@ a lexicon entry, all hashed; transitions between languages are learned with them
 gives each word's posterior, and a text's language is the one with the largest share of them.
 
 Training uses a bounded sample of labelled rows, whole texts: about ``per_language`` of each language
-there is, all of those that have fewer.  Some training chains are joined from parts of texts in
+there is, all of those that have fewer, until they come to ``LETTERS_PER_LANGUAGE``.  Some training chains are joined from parts of texts in
 several languages, for the transitions.
 
-Edge cases: a text that is null, empty or without letters is ``und`` with score 0; ties go to the
+Edge cases: a text that is null, empty or without letters (digits, superscripts and fractions are none)
+is ``und`` with score 0; texts of any length are read whole; ties go to the
 language that sorts first; repeated rows repeat; without any labelled row all texts are ``und``; an
 empty table gives an empty result; other columns are ignored.
 """
@@ -22,7 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daystack.llm.common import remainder
@@ -30,6 +31,8 @@ from daystack.llm.common import remainder
 UNKNOWN = "und"
 #: Rows for training: about so many of each language.
 PER_LANGUAGE = 300
+#: Characters for training of each language: the text that exceeds them is its last.
+LETTERS_PER_LANGUAGE = 1_500_000
 #: Hashed features; letters of a word: longer runs, as of scripts without spaces, are several words.
 BUCKETS, LETTERS = 1 << 15, 24
 #: Words that a task remembers, and words that forward-backward takes at once, with up to MANY languages; fewer with more.
@@ -41,7 +44,12 @@ _letters = re.compile(rf"[^\W\d_]{{1,{LETTERS}}}")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _letters.findall((text or "").lower())
+    text = (text or "").lower()
+    words = _letters.findall(text)
+    if text.isascii() or all(map(str.isalpha, words)):
+        return words
+    # numerals that are neither letters nor decimal digits
+    return _letters.findall("".join(c if c.isalpha() else " " for c in text))
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +126,7 @@ class Model:
         return np.exp(raw - raw.max(axis=1, keepdims=True)) + 1e-12
 
     def shares(self, texts: list[str | None], labels: bool = False) -> list:
-        """For each text its languages' shares (None without words), or, with ``labels``, its words' languages."""
+        """For each text (None without words) its languages' shares, and how sure its words are on average; or, with ``labels``, its words' languages."""
         languages = max(MANY, len(self.languages))
         if not hasattr(self, "_known") or len(self._known) > REMEMBERED * MANY // languages:
             self._known: dict[str, int] = {}
@@ -142,7 +150,8 @@ class Model:
                 ids[row, : lengths[row]] = chains[k]
             post, _ = posteriors(self._table[ids], np.exp(self.moves), lengths)
             for row, k in enumerate(part):
-                out[k] = post[row, : lengths[row]].argmax(axis=1) if labels else post[row].sum(axis=0) / lengths[row]
+                own = post[row, : lengths[row]]
+                out[k] = own.argmax(axis=1) if labels else (own.mean(axis=0), own.max(axis=1).mean())
         return out
 
     # words get numbers as they come; scores of new ones are computed together
@@ -240,14 +249,21 @@ def train(docs: DataFrame, where=None, per_language: int = PER_LANGUAGE) -> Mode
     counts = rows.groupBy("lang").agg(F.count("*").alias("_n"))
     share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("_n"))
     picked = rows.select("doc_id", "text", "lang").join(F.broadcast(counts), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
-    sample = picked.select("doc_id", "text", "lang").collect()
-    return fit([(r["text"], r["lang"]) for r in sorted(sample, key=lambda r: (r["doc_id"], r["text"]))])
+    ahead = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text").rowsBetween(Window.unboundedPreceding, -1))
+    picked = picked.withColumn("_ahead", F.coalesce(ahead, F.lit(0))).where(F.col("_ahead") < LETTERS_PER_LANGUAGE)
+    sample = [(r["doc_id"] is None, r["doc_id"] or 0, r["text"], r["lang"]) for r in picked.select("doc_id", "text", "lang").toLocalIterator()]
+    return fit([(text, lang) for *_, text, lang in sorted(sample)])
 
 
-def predictions(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
+def judged(model: Model, texts: list[str | None]) -> list[tuple[str, float, float]]:
+    """Language, its share of the words, and how sure these are on average."""
     if not model.languages:
-        return [(UNKNOWN, 0.0)] * len(texts)
-    return [(UNKNOWN, 0.0) if s is None else (model.languages[int(s.argmax())], min(1.0, float(s.max()))) for s in model.shares(texts)]
+        return [(UNKNOWN, 0.0, 0.0)] * len(texts)
+    return [(UNKNOWN, 0.0, 0.0) if s is None else (model.languages[int(s[0].argmax())], min(1.0, float(s[0].max())), float(s[1])) for s in model.shares(texts)]
+
+
+def predictions(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
+    return [x[:2] for x in judged(model, texts)]
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -282,14 +298,18 @@ def held_out():
     return remainder(4) == 2
 
 
-def with_known_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
-    """``docs`` with all their columns, without those that have no language or less than ``least`` of one."""
+def with_known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """``docs`` with all their columns, without those that have no letters, or whose words are not known well.
+
+    The mean of words' largest posteriors is at least ``least``: a text in several languages stays where
+    each word's is clear.  Null and empty texts go; repeated rows stay or go together.
+    """
     model = train(docs, ~held_out())
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = predictions(model, b.column(at).to_pylist())
-            yield b.filter(pa.array([p[0] != UNKNOWN and p[1] >= least for p in found], pa.bool_()))
+            found = judged(model, b.column(at).to_pylist())
+            yield b.filter(pa.array([p[0] != UNKNOWN and p[2] >= least for p in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
