@@ -60,7 +60,9 @@ def test_look_up_of_hot_keys(spark):
     assert len(got) == 200 and {r.n for r in got if r.key == "hot"} == {100} and [r.n for r in got if r.key == "k4"] == [None]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("at_once", [30, 10**6])
+def test_components(spark, at_once):
+    """Contracted in one task, and by rounds of stars."""
     rng = random.Random(4)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + k, 1001 + k) for k in range(40)]
     parent = {}
@@ -73,7 +75,7 @@ def test_components(spark):
     for a, b in links:
         x, y = find(a), find(b)
         parent[max(x, y)] = min(x, y)
-    got = {r.id: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    got = {r.id: r.root for r in components.components(spark.createDataFrame(links, "a long, b long"), at_once).collect()}
     assert got == {x: find(x) for a, b in links if a != b for x in (a, b)}
 
 
@@ -167,6 +169,34 @@ def test_search_goes_on_after_a_success(counts, capacity, most):
     assert packing.lower_bound(counts, capacity) <= sum(found.values()) <= most
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(5, 60), min_size=6, max_size=12))
+def test_packing_is_optimal_where_fillings_are_many(lengths):
+    found = packing.fill_sequences(Counter(lengths), 100)
+    assert Counter(x for p, n in found.items() for x in p * n) == Counter(lengths)
+    assert sum(found.values()) == fewest(lengths, 100)
+
+
+def test_a_filling_that_first_branches_miss():
+    assert sum(packing.fill_sequences(Counter([36, 22, 16, 34, 35, 27, 54, 20, 47]), 100).values()) == 3
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 12), min_size=1, max_size=7), st.integers(0, 12))
+def test_all_fillings_are_undominated_and_maximal(lengths, waste):
+    import itertools
+
+    largest = max(lengths)
+    found, _ = packing.Completion(Counter(lengths), 20).all_fillings(largest, waste)
+    rest = sorted(lengths, reverse=True)
+    rest.remove(largest)
+    feasible = {c for k in range(len(rest) + 1) for c in itertools.combinations(rest, k) if largest + sum(c) <= 20}
+    for w, pattern in found:
+        assert w == 20 - sum(pattern) <= waste and tuple(sorted(pattern[1:], reverse=True)) in feasible
+    best = max(sum(c) for c in feasible) + largest
+    assert 20 - best > waste or any(w == 20 - best for w, _ in found)  # what wastes least is never dominated
+
+
 def test_repeats():
     assert sorted(packing.repeats(9)) == list(range(1, 10)) and list(packing.repeats(1)) == [1]
 
@@ -203,6 +233,17 @@ def test_words_encode_like_texts(text):
     assert words.text(text) == np.asarray(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_every_letter_encodes_like_in_a_text():
+    """With marks after it, before it and around: some letters end with a mark once they are composed or in lower case."""
+    words = packing.word_ids(tokenizer_path())
+    for c in map(chr, [*range(0x20, 0xD800), *range(0xE000, 0x10000)]):
+        if c.isalnum() and not 0x4E00 <= ord(c) < 0x9F00 and not 0xAC00 <= ord(c) < 0xD700:
+            text = f"a{c}... {c}. b {c}! .{c} x{c}y"
+            words.clear()
+            words[b""] = b""
+            assert words.text(text) == np.asarray(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), hex(ord(c))
+
+
 # ---------------------------------------------------------------- mixing
 
 
@@ -212,9 +253,38 @@ def test_fit(counts, share):
     lengths, n = np.array(list(counts)), np.array(list(counts.values()))
     budget = int(share * (lengths * n).sum())
     take = mixing.fit(lengths, n, budget)
-    assert (take >= 0).all() and (take <= n).all() and (take * lengths).sum() <= budget
-    # nothing that is left over would still fit
-    assert budget - (take * lengths).sum() < max(lengths) or (take == n).all()
+    assert (take >= 0).all() and (take <= n).all()
+    assert (take * lengths).sum() == best_sum(lengths, n, budget)
+
+
+def best_sum(lengths, counts, budget):
+    """The largest sum up to ``budget``, by adding one document after the other."""
+    sums = {0}
+    for length, n in zip(lengths.tolist(), counts.tolist()):
+        for _ in range(n):
+            sums |= {s + length for s in sums if s + length <= budget}
+    return max(sums)
+
+
+@pytest.mark.parametrize("window", [8, 64])
+@settings(max_examples=60, deadline=None)
+@given(counts=st.dictionaries(st.integers(1, 30), st.integers(1, 40), min_size=1, max_size=5), share=st.floats(0, 1))
+def test_fit_after_shares(window, counts, share):
+    """Budgets far beyond the knapsack's first window: what shares took is given back as far as it matters."""
+    lengths, n = np.array(list(counts)), np.array(list(counts.values()))
+    budget = int(share * (lengths * n).sum())
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(mixing, "KNAPSACK", window)
+        take = mixing.fit(lengths, n, budget)
+    assert (take >= 0).all() and (take <= n).all() and (take * lengths).sum() == best_sum(lengths, n, budget)
+
+
+def test_fit_of_few_frequent_lengths():
+    assert (mixing.fit([30, 1], [3, 2], 90) * [30, 1]).sum() == 90
+    assert (mixing.fit([1, 8], [5, 5], 40) * [1, 8]).sum() == 40
+    lengths, n = np.array([9973, 19937]), np.array([10**7, 10**7])
+    take = mixing.fit(lengths, n, int((lengths * n).sum() * 0.37) + 1)
+    assert (take * lengths).sum() == int((lengths * n).sum() * 0.37) + 1
 
 
 def test_fit_of_large_budgets():
@@ -279,6 +349,35 @@ def test_neural_model_is_normalised_and_learns():
     assert all(p[a * language_model.CLASSES + (a + 1) % 5].argmax() == (a + 2) % 5 for a in range(5))
 
 
+def test_outcomes_within_classes_are_normalised_and_learned():
+    outcomes = np.array([81, 81, 81, 90, 90, *range(language_model.CLASSES)])
+    pairs = np.zeros((language_model.CLASSES, len(outcomes)), np.int64)
+    pairs[3, [0, 1]] = 900, 100
+    pairs[4, [0, 1]] = 100, 900
+    pairs[5, [3, 4]] = 50, 950
+    p = np.exp(language_model.train_words(pairs, outcomes, rounds=400))
+    for c in range(language_model.CLASSES):
+        assert p[:, outcomes == c].sum(axis=1) == pytest.approx(np.ones(len(p)))
+    assert p[3, 0] == pytest.approx(0.9, abs=0.05) and p[4, 0] == pytest.approx(0.1, abs=0.05) and p[5, 4] == pytest.approx(0.95, abs=0.05)
+
+
+@needs_tables
+def test_scores_are_a_function_of_the_data(documents, monkeypatch):
+    monkeypatch.setattr(language_model, "STEPS", 20)
+    monkeypatch.setattr(language_model, "ROUNDS", 20)
+    one, many = (sorted(language_model.score(documents.repartition(n)).collect()) for n in (1, 16))
+    assert one == many
+
+
+def test_vocabulary(spark):
+    counts = spark.createDataFrame([(b"a", 90), (b"b", 90), (b"rare", 1)] + [(f"w{k:03}".encode(), 50) for k in range(200)], "word binary, n long")
+    v = language_model.vocabulary_of(counts, most=150, least=40)
+    assert v.frequent[:3] == [b"a", b"b", b"w000"] and len(v.frequent) == 80 and len(v.others) == 70
+    ids = v.numbers().of([b"a", b"w079", b"rare", b"more"])
+    assert ids[0] == 0 and ids[1] == language_model.CLASSES + 1 and language_model.END < ids[2] < language_model.CLASSES
+    assert v.outcomes[v.places[ids[1]]] == v.classes[ids[1]] == language_model.ending_class(b"w079")
+
+
 # ---------------------------------------------------------------- language identification
 
 
@@ -340,6 +439,26 @@ def test_long_runs_are_read_whole():
     assert language_id.predictions(model, [mixed])[0][0] == "wxyz"
 
 
+def test_letters_alone_have_a_language(spark):
+    model = language_id.fit([("abc abd abe", "x"), ("zzy zyy yyz", "y")])
+    assert language_id.predictions(model, ["² ½ ①", "٣ 12", "_", "a²"]) == [("und", 0.0)] * 3 + [(model.languages[0], pytest.approx(language_id.predictions(model, ["a"])[0][1]))]
+
+
+def test_training_without_some_ids(spark):
+    rows = [(None, "abc abd abe", "x"), (1, "abc abd", "x"), (None, "zzy zyy", "y"), (2, None, "y"), (3, "zyz", None)]
+    assert language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string")).languages == ["x", "y"]
+
+
+def test_texts_in_several_languages_stay(spark):
+    rng = random.Random(2)
+    text = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(n))
+    kinds = {"x": "abcd", "y": "mnop", "z": "wxyz"}
+    rows = [(k, text(kinds[x], 40), x) for k, x in enumerate(["x", "y", "z"] * 20)]
+    rows.append((99, " ".join(text(letters, 30) for letters in kinds.values()), None))
+    out = language_id.with_known_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {r.doc_id for r in out.collect()} == {r[0] for r in rows}
+
+
 # ---------------------------------------------------------------- personal data
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -519,6 +638,21 @@ def test_fingerprints_tell_near_copies_apart(documents, rows):
     assert all(len(r.fingerprint) in (0, 8 * 64) for r in out.values())
 
 
+def test_ranges_of_uneven_ids(spark):
+    """One far-off id doesn't put all others in one range; a null id comes first and is what follows the last."""
+    rows = [(k, f"a{k} b c d") for k in range(2000)] + [(2**61, "z y"), (None, "n m")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sizes = [r["count"] for r in fingerprint.ranged(docs, 20).groupBy("bucket").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 150
+    out = {r.doc_id: r for r in fingerprint.fingerprint_edits(docs, samples=2, ranges=20).collect()}
+    text = dict(rows)
+    order = sorted(text, key=lambda k: (k is not None, k or 0))
+    assert len(out) == len(rows)
+    for k, after in zip(order, order[1:] + order[:1]):
+        half = len(text[k]) // 2
+        assert out[k].edited_sha256 == hashlib.sha256((text[k][: len(text[k]) - half] + text[after][:half]).encode()).hexdigest()
+
+
 # ---------------------------------------------------------------- classifiers
 
 
