@@ -102,23 +102,23 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = 0) ->
     order = np.random.default_rng(seed).permutation(len(lengths))
     lengths, counts = lengths[order], counts[order]
     share = np.array([int(n) * budget // total for n in counts], np.int64)
+    rest = budget - int((share * lengths).sum())
+    for k, length in enumerate(lengths.tolist()):  # each share is short of less than one
+        if rest >= length and share[k] < counts[k]:
+            share[k] += 1
+            rest -= length
     enough = 3 * int(lengths.max()) + 1
     most = MOST_BITS // (STEPS * len(lengths))
     window, best, found = max(1, min(budget, KNAPSACK)), -1, share
     while True:
-        hold = np.minimum(window // (len(lengths) * lengths) + 1, enough)
-        base = np.maximum(share - hold, 0)
-        rest = budget - int((base * lengths).sum())
-        at = 0
-        while rest > 2 * window and at < len(lengths):  # many lengths hold back more than the window: some give it up
-            back = min(int(share[at] - base[at]), (rest - window) // int(lengths[at]))
-            base[at] += back
-            rest -= back * int(lengths[at])
-            at += 1
-        take, got = _knapsack(lengths, counts - base, rest)
-        if budget - rest + got > best:
-            best, found = budget - rest + got, base + take
-        if best == budget or not base.any() or 2 * window > most or (at == 0 and (hold >= np.minimum(enough, share)).all()):
+        hold = np.minimum(np.minimum(window // (len(lengths) * lengths) + 1, enough), share)
+        hold[1:][np.cumsum(hold * lengths)[1:] > 2 * window] = 0  # of many lengths, not all
+        base = share - hold
+        left = budget - int((base * lengths).sum())
+        take, got = _knapsack(lengths, counts - base, left)
+        if budget - left + got > best:
+            best, found = budget - left + got, base + take
+        if best == budget or 2 * window > most or (hold >= np.minimum(enough, share)).all():
             break
         window *= 2
     out = np.zeros_like(found)
