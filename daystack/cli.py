@@ -56,6 +56,8 @@ def config_of(args: argparse.Namespace) -> RunConfig:
 def _run(args: argparse.Namespace) -> int:
     from daystack.plans.batch_run import earlier_rows
     from daystack.plans.pipeline import run
+    from daystack.operators.daily import displaced_summary
+    from daystack.operators.durable import durable
     from daystack.sinks.files import report, save_state, write_displaced, write_failed, write_metadata, write_series
     from daystack.sources.states import load_state
 
@@ -94,13 +96,14 @@ def _run(args: argparse.Namespace) -> int:
     counters = result.counters.first().asDict()
     files = {"series": str(out / "series.json"), "displaced": str(out / "displaced.json"), "state": state_file}
     write_series(result.series, files["series"])
-    write_displaced(result.displaced, files["displaced"])
+    gone = durable(result.displaced_rows)
+    write_displaced(gone, files["displaced"])
     files["failed"] = write_failed(result.failed, str(out), label)
     state |= {"metrics": counters, "darshan_rows": json.loads(Path(files["series"]).read_text()), "date_duplicates": json.loads(Path(files["displaced"]).read_text())}
     save_state(state_file, state)
     ended = datetime.now()
     write_metadata(str(out / "run_metadata.json"), label, started, ended, args.provider, config.as_dict(), before, counters, files)
-    gone = result.displaced.selectExpr("coalesce(sum(size(displaced)), 0)", "count(*)").first()
+    gone = displaced_summary(gone).first()
     for line in report(counters, int((ended - started).total_seconds()), gone[0], gone[1], result.failed.count()):
         logging.info(line)
     return 0

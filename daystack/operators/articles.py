@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daystack.functions.text import article_of, composite_key, id_matches, label, strip
@@ -94,8 +94,3 @@ def counters(articles: DataFrame, labels: DataFrame, outcomes: DataFrame) -> Dat
         F.count_distinct(F.when(good, F.col("date"))).alias("final_records"),
     )
     return a.crossJoin(b).crossJoin(c).withColumn("success_rate", F.try_divide(F.col("extracted_success") * 100.0, F.col("total_loaded")))  # one row each
-
-
-def numbered(rows: DataFrame, order: list[str | Column], name: str = "seq") -> DataFrame:
-    """Places from 1 within equal-sized chunks' order; for narrow tables only."""
-    return rows.withColumn(name, F.row_number().over(Window.orderBy(*order)))

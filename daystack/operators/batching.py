@@ -30,51 +30,64 @@ def greedy_cuts(tokens: np.ndarray, budget: int, filled: int) -> tuple[np.ndarra
     return opens, filled
 
 
+def stretch_map(tokens: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What a stretch of rows does to a batch filled to ``f`` >= 0: (above, opened, filled), ascending in ``above``.
+
+    The first entry with above > budget - f says how many batches the stretch opens, and how full it
+    leaves the last one; without such an entry it opens none.  What was open only decides which row
+    opens the first batch; these rows are followed together from batch to batch, and merge where they
+    meet.  Rows that come to the same are one entry, so there are at most as many as a batch has rows.
+    """
+    n = len(tokens)
+    sums = np.concatenate([[0], np.cumsum(tokens, dtype=np.int64)])
+    after = np.maximum(np.searchsorted(sums, sums[:-1] + budget, "right") - 1, np.arange(n) + 1)
+    heads = np.arange(int(np.searchsorted(sums[:-1], budget, "right")))
+    at, last, opened = heads.copy(), np.full(len(heads), -1), np.zeros(len(heads), np.int64)
+    going = at < n
+    while going.any():
+        some, where = np.unique(at[going], return_inverse=True)
+        last[going], opened[going] = at[going], opened[going] + 1
+        at[going] = after[some][where]
+        going = at < n
+    filled = np.where(tokens[last] > budget, -1, sums[-1] - sums[last]) if n else last
+    final = np.concatenate([(opened[1:] != opened[:-1]) | (filled[1:] != filled[:-1]), [True]]) if len(heads) else np.zeros(0, bool)
+    return sums[1:][heads][final], opened[final], filled[final]
+
+
 def token_batches(rows: DataFrame, budget: int, seq: str = "seq", tokens: str = "tokens", parts: int | None = None) -> DataFrame:
     """``rows`` with batch_id (from 1): in order, each batch as long as it stays within the budget.
 
     The rule is sequential, but a stretch of rows depends on those before it only by how full the open
-    batch is.  Rows are dealt by ranges of ``seq``; each stretch is tried with what its predecessor was
-    last seen to leave, until nothing changes: stretches soon agree whatever they started with, so this
-    takes a few rounds.  Numbers alone reach the driver, one set for each stretch.
+    batch is.  Rows are dealt by ranges of ``seq``; one pass says of every stretch what it does to any
+    open batch, the driver goes through these maps in order, and a second pass numbers the batches.
     """
     narrow = rows.select(*rows.columns)
     dealt = narrow.repartitionByRange(parts, seq) if parts else narrow.repartitionByRange(seq)
     kept = durable(dealt.sortWithinPartitions(seq))
-    known: dict[tuple[int, int], tuple[int, int]] = {}  # (stretch, filled before) -> (filled after, batches opened)
-    n_parts = kept.rdd.getNumPartitions()
-    chain = [-1] * n_parts
-
-    def attempt(starts: dict[int, int]):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            part = TaskContext.get().partitionId()
-            if part not in starts:
-                for _ in batches:
-                    pass
-                return
-            filled, opened = starts[part], 0
-            for b in batches:
-                opens, filled = greedy_cuts(b.column(0).to_numpy(), budget, filled)
-                opened += int(opens.sum())
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([filled], pa.int64()), pa.array([opened], pa.int64())], ["part", "filled", "opened"])
-
-        return run
-
-    while True:
-        wanted = {p: chain[p] for p in range(n_parts) if (p, chain[p]) not in known}
-        if wanted:
-            for r in kept.select(F.col(tokens).cast("bigint").alias("t")).mapInArrow(attempt(wanted), "part int, filled long, opened long").collect():
-                known[r["part"], wanted[r["part"]]] = (r["filled"], r["opened"])
-        after = [known[p, chain[p]][0] for p in range(n_parts)]
-        if after[:-1] == chain[1:]:
-            break
-        chain = [-1, *after[:-1]]
-    before = np.concatenate([[0], np.cumsum([known[p, chain[p]][1] for p in range(n_parts)])]).tolist()
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = np.concatenate([np.zeros(0, np.int64), *[b.column(0).to_numpy() for b in batches]])
+        if len(t):
+            opens, filled = greedy_cuts(t, budget, -1)  # nothing is open
+            row = [TaskContext.get().partitionId(), int(t.sum()), int(opens.sum()), filled, *[x.astype("<i8").tobytes() for x in stretch_map(t, budget)]]
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], ["part", "total", "opened", "filled", "above", "opened_by", "filled_by"])
+
+    found = kept.select(F.col(tokens).cast("bigint").alias("t")).mapInArrow(look, "part long, total long, opened long, filled long, above binary, opened_by binary, filled_by binary")
+    before: dict[int, tuple[int, int]] = {}  # stretch -> (filled, batches) before it
+    filled = -1
+    count = 0
+    for r in sorted(found.collect(), key=lambda r: r["part"]):
+        before[r["part"]] = (filled, count)
+        if filled < 0:
+            count, filled = count + r["opened"], r["filled"]
+            continue
+        above, opened, left = (np.frombuffer(r[c], "<i8") for c in ("above", "opened_by", "filled_by"))
+        at = int(np.searchsorted(above, budget - filled, "right"))
+        count, filled = (count + int(opened[at]), int(left[at])) if at < len(above) else (count, filled + r["total"])
     at = kept.columns.index(tokens)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        filled, last = chain[part], before[part]
+        filled, last = before.get(TaskContext.get().partitionId(), (-1, 0))
         for b in batches:
             opens, filled = greedy_cuts(b.column(at).cast(pa.int64()).to_numpy(), budget, filled)
             ids = last + np.cumsum(opens)

@@ -37,10 +37,13 @@ class Run:
         best = daily_best(self.valid.select("date", "article_id", "title", F.col("link").alias("post"), "pilgrim_count", "other_metrics", "seq"))
         return best.drop("seq")
 
+    @property
+    def displaced_rows(self) -> DataFrame:
+        return displaced(self.valid.select("date", "article_id", "title", F.col("link").alias("post"), "pilgrim_count", "seq"))
+
     @property
     def displaced(self) -> DataFrame:
-        rows = displaced(self.valid.select("date", "article_id", "title", F.col("link").alias("post"), "pilgrim_count", "seq"))
-        return displaced_lists(rows, ["article_id", "title", "post", "pilgrim_count"])
+        return displaced_lists(self.displaced_rows, ["article_id", "title", "post", "pilgrim_count"])
 
     @property
     def failed(self) -> DataFrame:

@@ -25,9 +25,23 @@ def write_series(series: DataFrame, path: str) -> None:
     _dump({r["date"]: {"article_id": r["article_id"], "title": r["title"], "post": r["post"], "data": {"pilgrim_count": r["pilgrim_count"], "other_metrics": json.loads(r["other_metrics"] or "{}")}} for r in rows}, path)
 
 
-def write_displaced(lists: DataFrame, path: str) -> None:
-    """date -> list of displaced rows."""
-    _dump({r["date"]: [x.asDict() for x in r["displaced"]] for r in lists.orderBy("date").toLocalIterator()}, path)
+def write_displaced(rows: DataFrame, path: str) -> None:
+    """date -> list of displaced rows, in the order in which they gave way, as one JSON object.
+
+    Rows (date, displaced_at, seq and what is written) come one by one, so no list is held anywhere.
+    """
+    hidden = ("date", "displaced_at", "seq")
+    date = None
+    with Path(path).open("w", encoding="utf-8") as out:
+        out.write("{")
+        for r in rows.orderBy(*hidden).toLocalIterator():
+            line = json.dumps({k: v for k, v in r.asDict().items() if k not in hidden}, ensure_ascii=False)
+            if r["date"] != date:
+                out.write(("" if date is None else "\n  ],") + f"\n  {json.dumps(r['date'])}: [\n    {line}")
+                date = r["date"]
+            else:
+                out.write(f",\n    {line}")
+        out.write("\n}\n" if date is None else "\n  ]\n}\n")
 
 
 def write_failed(rows: DataFrame, folder: str, label: str) -> str | None:

@@ -49,6 +49,59 @@ def test_token_batches_do_not_depend_on_partitions(spark, parts):
     assert [r.batch_id for r in batching.token_batches(rows, 100, parts=parts).orderBy("seq").collect()] == loop_batches(tokens, 100)
 
 
+def test_token_batches_of_equal_lengths_take_two_passes(spark):
+    """Stretches of equal rows never agree by themselves; still, no stretch is read again."""
+    rows = spark.range(1000).selectExpr("id AS seq", "7L AS tokens")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("equal", "")
+    got = batching.token_batches(rows, 50, parts=64).orderBy("seq").collect()
+    jobs = tracker.getJobIdsForGroup("equal")
+    spark.sparkContext.setJobGroup("", "")
+    assert [r.batch_id for r in got] == [k // 7 + 1 for k in range(1000)]
+    assert len(jobs) <= 8  # ranges, checkpoint, maps, result; not one for each stretch
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 150), min_size=1, max_size=60), st.integers(0, 100))
+def test_stretch_maps(tokens, filled):
+    import numpy as np
+
+    t = np.array(tokens, np.int64)
+    opens, after = batching.greedy_cuts(t, 100, filled)
+    above, opened, left = batching.stretch_map(t, 100)
+    at = int(np.searchsorted(above, 100 - filled, "right"))
+    got = (int(opened[at]), int(left[at])) if at < len(above) else (0, filled + sum(tokens))
+    assert got == (int(opens.sum()), after)
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_displaced_over_ranges(spark, partitions):
+    rng = random.Random(partitions)
+    data = [(f"d{rng.choice([1, 1, 1, 2, 3])}", rng.randrange(40), k) for k in range(300)]
+    rows = spark.createDataFrame(data, "date string, pilgrim_count long, seq long").repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.seq: (r.reason, r.displaced_at) for r in daily.displaced(rows).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want, best = {}, {}
+    for date, n, k in data:
+        if date in best and n <= best[date][0]:
+            want[k] = (daily.LOWER, k)
+        else:
+            if date in best:
+                want[best[date][1]] = (daily.REPLACED, k)
+            best[date] = (n, k)
+    assert got == want
+
+
+def test_payloads_are_parsed_once(spark):
+    rows = spark.createDataFrame([(1, "2100", "02", '{"day": 3, "pilgrim_count": 5}')], "seq long, year string, month string, payload string")
+    out = daily.daily_best(daily.validated(rows).where("outcome = 'extracted_success'").select("date", "pilgrim_count", "seq"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") + plan.lower().count("parse_json") == 1, plan
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 150), max_size=60), st.integers(-1, 100))
 def test_greedy_cuts(tokens, filled):

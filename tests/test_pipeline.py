@@ -49,7 +49,7 @@ def test_run(spark, news):
 def test_outputs(spark, news, tmp_path):
     run = pipeline.run(spark, str(news))
     files.write_series(run.series, str(tmp_path / "s.json"))
-    files.write_displaced(run.displaced, str(tmp_path / "d.json"))
+    files.write_displaced(run.displaced_rows, str(tmp_path / "d.json"))
     assert json.loads((tmp_path / "s.json").read_text())["2100-02-05"]["data"] == {"pilgrim_count": 3400, "other_metrics": {}}
     assert json.loads((tmp_path / "d.json").read_text())["2100-02-05"][0]["reason"] == "replaced by higher pilgrim_count"
     assert files.write_failed(run.failed, str(tmp_path), "x") is None
