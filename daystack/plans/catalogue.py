@@ -223,11 +223,15 @@ def retry_first(spark, sf_dir):
 BUDGET, OVERHEAD = 50_000, 75
 
 
-@query("SELECT doc_id AS seq, length(text) // 4 AS tokens, length(left(text, 400)) // 4 AS cut_tokens, length('Return JSON with day, pilgrim_count and other_metrics from this text, within 100 tokens.' || chr(10) || 'Text: ' || left(text, 400)) // 4 + 75 AS request_tokens FROM documents")
+#: The default of a run's most tokens of content in a request.
+PER_REQUEST = 4096
+
+
+@query("SELECT doc_id AS seq, length(text) // 4 AS tokens, length(left(text, 16384)) // 4 AS cut_tokens, length('Return JSON with day, pilgrim_count and other_metrics from this text, within 4096 tokens.' || chr(10) || 'Text: ' || left(text, 16384)) // 4 + 75 AS request_tokens FROM documents")
 def token_estimate(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     c = F.col("text")
-    return d.select(F.col("doc_id").alias("seq"), text.token_count(c).alias("tokens"), text.token_count(text.truncate_tokens(c, 100)).alias("cut_tokens"), text.request_tokens(text.extract_prompt(c, 100), OVERHEAD).alias("request_tokens"))
+    return d.select(F.col("doc_id").alias("seq"), text.token_count(c).alias("tokens"), text.token_count(text.truncate_tokens(c, PER_REQUEST)).alias("cut_tokens"), text.request_tokens(text.extract_prompt(c, PER_REQUEST), OVERHEAD).alias("request_tokens"))
 
 
 def tokens_of(spark, sf_dir):
@@ -260,9 +264,13 @@ def fixed_chunks(spark, sf_dir):
     return batching.fixed_chunks(tokens_of(spark, sf_dir), 75).select("seq", "chunk")
 
 
-@query()
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS article_id, CAST(to_json({'custom_id': doc_id || '-extraction', 'method': 'POST', 'url': '/v1/chat/completions', 'body': {'model': 'rules',
+  'messages': [{'role': 'user', 'content': 'Return JSON with day, pilgrim_count and other_metrics from this text, within 4096 tokens.' || chr(10) || 'Text: ' || left(text, 16384)}],
+  'temperature': 0.01::DOUBLE, 'max_tokens': 350, 'stop': ['```']}}) AS VARCHAR) AS line FROM documents"""
+)
 def request_jsonl(spark, sf_dir):
-    items = docs_as_articles(spark, sf_dir).withColumn("prompt", text.extract_prompt(F.col("content"), 100))
+    items = docs_as_articles(spark, sf_dir).withColumn("prompt", text.extract_prompt(F.col("content"), PER_REQUEST))
     return batching.requests_jsonl(items, "extraction", "prompt", max_tokens=350, stop="```")
 
 
@@ -560,3 +568,120 @@ def failed_articles(spark, sf_dir):
     said = A.classified(answers(spark, sf_dir))
     bad = A.only(articles, said.where("label is null")).select("article_id", F.lit("failed").alias("why"))
     return bad.unionByName(unanswered(articles.select("article_id"), said).withColumn("why", F.lit("unanswered")))
+
+
+# ---------------------------------------------------------------- files written and read again
+
+
+def renamed(spark: SparkSession, folder: str, names: dict[str, str]) -> None:
+    """Files of ``folder``'s subfolders x=<key> moved to ``folder``/<names[key]>."""
+    jvm = spark.sparkContext._jvm
+    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for key, name in names.items():
+        for found in files.globStatus(path(f"{folder}/x={key}/part-*")):
+            files.rename(found.getPath(), path(f"{folder}/{name}"))
+        files.delete(path(f"{folder}/x={key}"), True)
+
+
+def article_csvs(rows: DataFrame, folder: str, names: list[str]) -> None:
+    """Articles as CSV files of the given names, dealt by seq."""
+    columns = ["year", "month", F.lit("1").alias("page"), "article_id", "title", "link", "content"]
+    dealt = rows.withColumn("x", (F.col("seq") % len(names)).cast("int")).select("x", *columns).repartition(len(names), "x")
+    options = {"header": True, "quote": '"', "escape": '"', "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    dealt.write.options(**options).partitionBy("x").csv(folder)
+    renamed(rows.sparkSession, folder, {str(k): name for k, name in enumerate(names)})
+
+
+#: What articles keep of documents: those with a letter or mark left after white space.
+KEPT = "SELECT *, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM documents"
+
+
+@query(
+    f"""SELECT CAST(doc_id AS VARCHAR) AS article_id, '20' || (10 + doc_id % 5) AS year, '0' || (1 + doc_id % 5) AS month, length(body) AS n, md5(body) AS digest
+  FROM ({KEPT}) WHERE body <> '' AND doc_id % 6 <> 5"""
+)
+def article_files(spark, sf_dir):
+    """Six files, one of them with a name that has no period; year and month are the names'."""
+    from daystack.sources.articles import read_articles
+
+    folder = scratch(spark, "articles")
+    rows = docs_as_articles(spark, sf_dir).withColumn("title", F.lit('a "title", quoted'))
+    rows = rows.withColumn("link", F.concat(F.lit("l"), F.col("seq") % 5))
+    # five months in turn within the files that have a period, so that each file has one
+    rows = rows.withColumn("seq", F.when(F.col("seq") % 6 == 5, F.lit(5)).otherwise(F.col("seq") % 5).cast("long"))
+    article_csvs(rows, folder, [f"articles_{2010 + k}_0{1 + k}.csv" for k in range(5)] + ["articles.csv"])
+    return read_articles(spark, folder).select("article_id", "year", "month", F.length("content").cast("bigint").alias("n"), F.md5("content").alias("digest"))
+
+
+@query(f"SELECT CAST(doc_id AS VARCHAR) AS article_id, '2024' AS year, '01' AS month, md5(body) AS digest FROM ({KEPT}) WHERE body <> '' AND doc_id % 4 <> 0")
+def retry_files(spark, sf_dir):
+    """Rows to retry bring their own period; every fourth has no year."""
+    from daystack.sources.articles import read_retry
+
+    folder = scratch(spark, "retry")
+    rows = docs_as_articles(spark, sf_dir).withColumn("title", F.lit("t"))
+    article_csvs(rows.withColumn("year", F.when(F.col("seq") % 4 == 0, F.lit(" ")).otherwise(F.col("year"))), folder, ["failed_1.csv", "failed_2.csv"])
+    return read_retry(spark, folder).select("article_id", "year", "month", F.md5("content").alias("digest"))
+
+
+@query("SELECT 'b' || l_orderkey AS batch_id, CAST(l_partkey AS VARCHAR) AS article_id, CAST(count(*) OVER (PARTITION BY l_orderkey) AS BIGINT) AS estimated_tokens FROM lineitem WHERE l_orderkey % 2 = 0")
+def ledger_entries(spark, sf_dir):
+    """A saved state's pending batches of one kind, read again; a state is a file that one machine holds."""
+    from daystack.sources.states import read_ledger
+
+    entry = F.struct(F.when(F.col("l_orderkey") % 2 == 0, "extraction").otherwise("classification").alias("kind"), F.concat(F.lit("b"), "l_orderkey").alias("batch_id"), "article_ids", "estimated_tokens")
+    each = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.col("l_partkey").cast("string")).alias("article_ids"), F.count("*").alias("estimated_tokens"))
+    path = scratch(spark, "state")
+    each.agg(F.to_json(F.struct(F.collect_list(entry).alias("pending_batches"))).alias("value")).write.text(path)
+    found = read_ledger(spark, path, "extraction")
+    return found.select("batch_id", F.explode("article_ids").alias("article_id"), "estimated_tokens")
+
+
+def numbered_pages(after: str | None, limit: int) -> tuple[list[dict], bool]:
+    """A listing of 1,234 batches by pages, for the query below."""
+    first = int(after[1:]) + 1 if after else 0
+    last = min(first + limit, 1234)
+    return [{"batch_id": f"b{k}", "status": ("completed", "failed", "validating")[k % 3], "created_at": 1000 + k, "total_requests": k} for k in range(first, last)], last < 1234
+
+
+@query("SELECT 'b' || i AS batch_id, CAST(i AS BIGINT) AS total_requests FROM range(1000) t(i) WHERE i % 3 = 2")
+def paged_listing(spark, sf_dir):
+    """Ten pages of a hundred are read before the status is looked at."""
+    from daystack.sources.batches import list_batches
+
+    return list_batches(share(spark), "daystack.plans.catalogue:numbered_pages", "validating", 100, 10).select("batch_id", "total_requests")
+
+
+@query(
+    """SELECT event_id AS seq, CASE event_id % 5 WHEN 0 THEN '{"groups":[' || event_id || ',2],"note":"x"}' WHEN 1 THEN '{"n":' || event_id || '}' ELSE '{}' END AS other_metrics FROM events"""
+)
+def other_metrics(spark, sf_dir):
+    """Objects stay, as JSON text; null, arrays, text and nothing are an empty object."""
+    e = table(spark, sf_dir, "events")
+    id_ = F.col("event_id").cast("string")
+    inner = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit('{"groups": ['), id_, F.lit(', 2], "note": "x"}'))).when(F.col("event_id") % 5 == 1, F.concat(F.lit('{"n": '), id_, F.lit("}")))
+    inner = inner.when(F.col("event_id") % 5 == 2, F.lit("null")).when(F.col("event_id") % 5 == 3, F.lit("[1]")).otherwise(F.lit('"x"'))
+    body = F.concat(F.lit('{"day": 1, "pilgrim_count": 2, "other_metrics": '), inner, F.lit("}"))
+    rows = e.select(F.col("event_id").alias("seq"), F.lit("2024").alias("year"), F.lit("01").alias("month"), body.alias("payload"))
+    return daily.validated(rows).select("seq", "other_metrics")
+
+
+@query(ORDER_SERIES + " SELECT CAST(date AS VARCHAR) AS date, CASE WHEN day(date) % 3 = 1 THEN NULL ELSE pilgrim_count END AS pilgrim_count FROM s")
+def series_counts(spark, sf_dir):
+    """Counts with fractions lose them; text with separators is no count."""
+    from daystack.sources.states import read_series
+
+    n = F.col("pilgrim_count").cast("string")
+    kind = F.dayofmonth("date") % 3
+    count = F.when(kind == 0, F.concat(n, F.lit(".75"))).when(kind == 1, F.lit('"64,801"')).otherwise(F.concat(F.lit('"'), n, F.lit('"')))
+    line = F.concat(F.lit('"'), F.col("date").cast("string"), F.lit('": {"article_id": "a", "title": "t", "post": "p", "data": {"pilgrim_count": '), count, F.lit(', "other_metrics": {}}}'))
+    path = scratch(spark, "series")
+    order_series(spark, sf_dir).agg(F.concat(F.lit("{"), F.array_join(F.collect_list(line), ", "), F.lit("}")).alias("value")).write.text(path)  # a row a day
+    return read_series(spark, path).select(F.col("date").cast("string").alias("date"), "pilgrim_count")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN '-' ELSE strftime(to_timestamp(1700000000 + event_id * 977) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') END AS finished FROM events")
+def finish_times(spark, sf_dir):
+    at = F.when(F.col("event_id") % 4 != 0, F.lit(1_700_000_000) + F.col("event_id") * 977)
+    return table(spark, sf_dir, "events").select("event_id", pacing.epoch_text(at).alias("finished"))
