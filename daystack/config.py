@@ -28,6 +28,7 @@ class RunConfig:
     rate_wait_step: int = 5
     rate_wait_limit: int = 300
     period_from: str = "filename"
+    tokenizer: str = ""  # a JSON file, or tiktoken:model; four characters a token without one
 
     def __post_init__(self) -> None:
         if not 1 <= self.batch_size <= 10_000:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from daystack.functions import tokens
+
 #: White space as Unicode has it, with the separators U+001C to U+001F.
 SPACE = r"[\s\x1c-\x1f]"
 
@@ -50,14 +52,18 @@ def strip_fences(text: Column) -> Column:
     return strip(F.when(opened.endswith("```"), F.regexp_replace(opened, "```$", "")).otherwise(opened))
 
 
-def token_count(text: Column) -> Column:
-    """Tokens by the rule of four code points each."""
-    return (F.length(F.coalesce(text, F.lit(""))) / 4).cast("bigint")
+def token_count(text: Column, tokenizer: str = "") -> Column:
+    """Tokens of a ``tokenizer`` (see ``tokens``); without one, by the rule of four code points each."""
+    if tokenizer and tokens.usable(tokenizer):
+        return tokens.count(text, tokenizer)
+    return (F.length(F.coalesce(text, F.lit(""))) / tokens.PER_TOKEN).cast("bigint")
 
 
-def truncate_tokens(text: Column, most: int) -> Column:
-    """The first ``most`` tokens by the same rule."""
-    return F.substring(F.coalesce(text, F.lit("")), 1, 4 * most)
+def truncate_tokens(text: Column, most: int, tokenizer: str = "") -> Column:
+    """The first ``most`` tokens, counted in the same way."""
+    if tokenizer and tokens.usable(tokenizer):
+        return tokens.cut(text, most, tokenizer)
+    return F.substring(F.coalesce(text, F.lit("")), 1, tokens.PER_TOKEN * most)
 
 
 #: Our own wording; a provider may bring another.
@@ -65,14 +71,14 @@ CLASSIFY_PROMPT = ("Does this article state how many pilgrims came on a day? Ans
 EXTRACT_PROMPT = ("Return JSON with day, pilgrim_count and other_metrics from this text, within ", " tokens.\nText: ", "")
 
 
-def classify_prompt(title: Column, content: Column, most_tokens: int) -> Column:
+def classify_prompt(title: Column, content: Column, most_tokens: int, tokenizer: str = "") -> Column:
     a, b, c = CLASSIFY_PROMPT
-    return F.concat(F.lit(a), F.coalesce(title, F.lit("")), F.lit(b), truncate_tokens(content, most_tokens), F.lit(c))
+    return F.concat(F.lit(a), F.coalesce(title, F.lit("")), F.lit(b), truncate_tokens(content, most_tokens, tokenizer), F.lit(c))
 
 
-def extract_prompt(content: Column, most_tokens: int) -> Column:
+def extract_prompt(content: Column, most_tokens: int, tokenizer: str = "") -> Column:
     a, b, c = EXTRACT_PROMPT
-    return F.concat(F.lit(a), F.lit(str(most_tokens)), F.lit(b), truncate_tokens(content, most_tokens), F.lit(c))
+    return F.concat(F.lit(a), F.lit(str(most_tokens)), F.lit(b), truncate_tokens(content, most_tokens, tokenizer), F.lit(c))
 
 
 def render(template: str, **values: Column) -> Column:
@@ -95,9 +101,9 @@ def render(template: str, **values: Column) -> Column:
             raise ValueError(f"a single brace in the template: {rest[at:at + 20]!r}")
 
 
-def request_tokens(prompt: Column, overhead: int) -> Column:
+def request_tokens(prompt: Column, overhead: int, tokenizer: str = "") -> Column:
     """What a request is estimated to take: its rendered prompt's tokens and a fixed part."""
-    return token_count(prompt) + F.lit(overhead)
+    return token_count(prompt, tokenizer) + F.lit(overhead)
 
 
 def custom_id(article_id: Column, kind: str | Column) -> Column:

@@ -67,9 +67,9 @@ class BatchRunner:
     def plan(self, spark: SparkSession, articles: DataFrame, kind: str) -> None:
         """Cut the articles' requests into batches, keep their lines, and queue them."""
         c, most = self.config, self.config.max_tokens_per_request
-        prompt = classify_prompt(F.col("title"), F.col("content"), most) if kind == "classification" else extract_prompt(F.col("content"), most)
+        prompt = classify_prompt(F.col("title"), F.col("content"), most, c.tokenizer) if kind == "classification" else extract_prompt(F.col("content"), most, c.tokenizer)
         items = articles.select("article_id", "seq", prompt.alias("prompt"))
-        items = items.withColumn("tokens", request_tokens(F.col("prompt"), c.request_overhead_tokens))
+        items = items.withColumn("tokens", request_tokens(F.col("prompt"), c.request_overhead_tokens, c.tokenizer))
         limits = {"classification": {"max_tokens": 2}, "extraction": {"max_tokens": 350, "stop": "```"}}[kind]
         cuts = durable(token_batches(items.select("article_id", "seq", "tokens"), c.max_tokens_per_batch))
         path = f"{self.folder}/{kind}-{uuid.uuid4().hex}"

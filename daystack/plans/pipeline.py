@@ -75,7 +75,7 @@ def run(spark: SparkSession, directory: str, config: RunConfig | None = None, pr
     """Load, classify, extract and validate; what goes to a provider is cut to the request's tokens."""
     config = config or RunConfig()
     articles = durable(load(spark, directory, config, retry))
-    cut = articles.withColumn("content", truncate_tokens(F.col("content"), config.max_tokens_per_request))
+    cut = articles.withColumn("content", truncate_tokens(F.col("content"), config.max_tokens_per_request, config.tokenizer))
     labels = durable(classified(base.classify(cut, provider)))
     asked = only(cut, labels.where("label = 'true'"))
     answers = durable(base.extract(asked, provider))
@@ -86,5 +86,5 @@ def run(spark: SparkSession, directory: str, config: RunConfig | None = None, pr
 
 def batches(articles: DataFrame, config: RunConfig) -> DataFrame:
     """Articles with the batch of extraction requests that each would go in."""
-    tokens = request_tokens(extract_prompt(F.col("content"), config.max_tokens_per_request), config.request_overhead_tokens)
+    tokens = request_tokens(extract_prompt(F.col("content"), config.max_tokens_per_request, config.tokenizer), config.request_overhead_tokens, config.tokenizer)
     return token_batches(articles.select("article_id", "seq", tokens.alias("tokens")), config.max_tokens_per_batch)
