@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,14 +42,12 @@ LEXICON = {
 STEMS, LEAST = (3, 4, 5, 6, 7), 0.006
 #: Most patterns, most labelled rows they are found in, and rows whose features the classifier is trained on.
 PATTERNS, LABELLED, SAMPLE = 40, 20_000, 8_000
-#: How many rows a labelled one counts for in the label model.
-KNOWN = 5.0
+#: How many rows a labelled one counts for in the label model, and its most rounds.
+KNOWN, ROUNDS = 5.0, 40
 #: Lengths of word beginnings that are features; a feature is 1 from this share of a text's words on.
 FEATURE_STEMS, FULL = (3, 5, 7), 0.015
 #: Hashed features, passes and rate of the classifier.
 BUCKETS, PASSES, RATE, DECAY = 1 << 17, 10, 0.5, 1e-6
-#: Features for voters.
-MORE = 64
 
 _letters = re.compile(r"[^\W\d_]+")
 
@@ -91,6 +89,16 @@ class Voters:
     def number(self) -> int:
         return len(LEXICON) + len(self.stems)
 
+    @property
+    def size(self) -> int:
+        """Bytes that hold a text's votes."""
+        return self.number // 8 + 1
+
+    def table(self, votes: list[bytes]) -> np.ndarray:
+        """(row, voter) of 0 and 1."""
+        bits = np.frombuffer(b"".join(votes), np.uint8).reshape(len(votes), self.size)
+        return np.unpackbits(bits, axis=1, bitorder="little")[:, : self.number].astype(float)
+
     def votes(self, words: Counter[str]) -> int:
         """A bit for each voter that fires."""
         seen = [0] * self.number
@@ -159,48 +167,75 @@ class LabelModel:
         return np.log(self.prior / (1 - self.prior)) + odds
 
 
-def fit_labels(votes: np.ndarray, weight: np.ndarray, prior: float, known: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None, rounds: int = 60) -> LabelModel:
-    """Expectation maximisation over distinct vote patterns and how many rows have them.
+@dataclass
+class Moments:
+    """Sums over rows, by class: rows, votes, votes that meet, and rows without any; all that a round of estimation needs."""
+
+    rows: np.ndarray  # (class)
+    votes: np.ndarray  # (class, voter)
+    meet: np.ndarray  # (class, voter, voter)
+    silent: np.ndarray  # (class)
+
+    @classmethod
+    def none(cls, voters: int) -> Moments:
+        return cls(np.zeros(2), np.zeros((2, voters)), np.zeros((2, voters, voters)), np.zeros(2))
+
+    @classmethod
+    def of(cls, votes: np.ndarray, by: np.ndarray) -> Moments:
+        """votes: (pattern, voter); by: (class, pattern), how many rows of each class have it."""
+        return cls(by.sum(axis=1), by @ votes, np.stack([(votes * c[:, None]).T @ votes for c in by]), by @ ~votes.any(axis=1))
+
+    def __add__(self, o: Moments) -> Moments:
+        return Moments(self.rows + o.rows, self.votes + o.votes, self.meet + o.meet, self.silent + o.silent)
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.rows, self.votes.ravel(), self.meet.ravel(), self.silent])
+
+    @classmethod
+    def from_flat(cls, x: np.ndarray, voters: int) -> Moments:
+        rows, votes, meet, silent = np.split(x, np.cumsum([2, 2 * voters, 2 * voters * voters]))
+        return cls(rows, votes.reshape(2, voters), meet.reshape(2, voters, voters), silent)
 
-    To begin with, a row with a vote is toxic.  Patterns that are ``known`` (votes, class, rows) keep their class and
-    count ``KNOWN`` times: voters for different languages never fire together, so it takes these to tell
-    that they vote for the same.  Voters whose covariance within the classes is more than
-    noise share their weight, in proportion to how strong their correlation is.
+
+def expected(votes: np.ndarray, weight: np.ndarray, model: LabelModel | None) -> Moments:
+    """The moments that ``model`` expects of patterns with so many rows; without one, a row with a vote is likely toxic."""
+    toxic = np.where(votes.any(axis=1), 0.95, 0.02) if model is None else 1 / (1 + np.exp(-np.clip(model.log_odds(votes), -50, 50)))
+    return Moments.of(votes, np.stack([weight * (1 - toxic), weight * toxic]))
+
+
+def fit_labels(expect: Callable[[LabelModel | None], Moments], voters: int, prior: float, known: Moments | None = None, rounds: int = ROUNDS) -> LabelModel:
+    """Expectation maximisation; ``expect`` gives the moments of all rows under a model.
+
+    Rows whose class is ``known`` keep it and count ``KNOWN`` times: voters for different languages never
+    fire together, so it takes these to tell that they vote for the same.  From the middle on, each
+    round estimates anew which voters are correlated within the classes: those whose covariance there is more
+    than noise share their weight, in proportion to how strong their correlation is.
     """
-    n, voters = votes.shape
-    model = LabelModel(prior, np.stack([np.full(voters, 0.001), np.full(voters, 0.2)]), np.ones(voters), np.array([0.95, 0.1]))
-    toxic = np.where(votes.any(axis=1), 0.95, 0.02)
-    k_votes, k_class, k_rows = known if known is not None and len(known[1]) else (np.zeros((0, voters)), np.zeros(0), np.zeros(0))
-    fixed = KNOWN * k_rows * np.stack([1.0 - k_class, k_class])
+    known = known or Moments.none(voters)
+    model, before = None, None
     for k in range(rounds):
-        by = np.stack([weight * (1 - toxic), weight * toxic])
-        size = by.sum(axis=1, keepdims=True) + fixed.sum(axis=1, keepdims=True)
+        by = expect(model)
+        size = by.rows + KNOWN * known.rows
         # a voter that never fires has still been asked; half a row stands for what was not seen
-        model.fires = (by @ votes + fixed @ k_votes + np.array([[0.01], [0.5]])) / (size + 1)
-        silent = ~votes.any(axis=1)
-        model.none = ((by * silent).sum(axis=1) + (fixed * ~k_votes.any(axis=1)).sum(axis=1) + [0.5, 0.1]) / (size[:, 0] + 1)
-        model.prior = float(np.clip((size[1, 0] + prior) / (size.sum() + 1), 1e-4, 0.5))
-        if k == rounds // 2:
-            model.share = _shares(votes, by, model.fires)
-        new = 1 / (1 + np.exp(-np.clip(model.log_odds(votes), -50, 50)))
-        if k > rounds // 2 and np.abs(new - toxic).max(initial=0) < 1e-6:
+        fires = (by.votes + KNOWN * known.votes + np.array([[0.01], [0.5]])) / (size[:, None] + 1)
+        none = (by.silent + KNOWN * known.silent + [0.5, 0.1]) / (size + 1)
+        share = _shares(by, fires) if k >= rounds // 2 else np.ones(voters)
+        model = LabelModel(float(np.clip((size[1] + prior) / (size.sum() + 1), 1e-4, 0.5)), fires, share, none)
+        now = np.concatenate([fires.ravel(), share, none, [model.prior]])
+        if k > rounds // 2 and np.abs(now - before).max() < 1e-6:
             break
-        toxic = new
+        before = now
     return model
 
 
-def _shares(votes: np.ndarray, by: np.ndarray, fires: np.ndarray) -> np.ndarray:
+def _shares(by: Moments, fires: np.ndarray) -> np.ndarray:
     """1 over 1 plus the squared correlations that are left within the classes and above noise."""
-    voters = votes.shape[1]
-    cov = np.zeros((voters, voters))
-    var = np.zeros(voters)
-    for c in (0, 1):
-        centred = votes - fires[c]
-        cov += (centred * by[c][:, None]).T @ centred
-        var += by[c] @ centred**2
+    cross = by.votes[:, :, None] * fires[:, None, :]
+    cov = (by.meet - cross - cross.transpose(0, 2, 1) + by.rows[:, None, None] * fires[:, :, None] * fires[:, None, :]).sum(axis=0)
+    var = np.diag(cov)
     corr = cov / np.sqrt(np.maximum(np.outer(var, var), 1e-12))
     np.fill_diagonal(corr, 0)
-    corr[np.abs(corr) < 3 / np.sqrt(max(1.0, by.sum()))] = 0
+    corr[np.abs(corr) < 3 / np.sqrt(max(1.0, by.rows.sum()))] = 0
     return 1 / (1 + (np.maximum(corr, 0) ** 2).sum(axis=1))
 
 
@@ -210,8 +245,8 @@ def _shares(votes: np.ndarray, by: np.ndarray, fires: np.ndarray) -> np.ndarray:
 _features: dict[str, tuple[int, ...]] = {}
 
 
-def features(words: Counter[str], votes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed words and beginnings, voters that fire, and whether any does; and their values."""
+def features(words: Counter[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed words and beginnings, and their values."""
     if len(_features) > 200_000:
         _features.clear()
     total: Counter[int] = Counter()
@@ -221,9 +256,8 @@ def features(words: Counter[str], votes: int) -> tuple[np.ndarray, np.ndarray]:
         for x in f:
             total[x] += n
     full = max(1.0, FULL * words.total())
-    fired = [BUCKETS + k for k in range(votes.bit_length()) if votes >> k & 1] + [BUCKETS + MORE - 1] * (votes > 0)
-    keys = np.concatenate([np.fromiter(total.keys(), np.int64, len(total)), np.array(fired, np.int64)])
-    return keys, np.concatenate([np.minimum(1.0, np.fromiter(total.values(), float, len(total)) / full), np.ones(len(fired))])
+    keys = np.fromiter(total.keys(), np.int64, len(total))
+    return keys, np.minimum(1.0, np.fromiter(total.values(), float, len(total)) / full)
 
 
 @dataclass
@@ -231,8 +265,8 @@ class Linear:
     weights: np.ndarray
     bias: float
 
-    def score(self, words: Counter[str], votes: int) -> float:
-        f, x = features(words, votes)
+    def score(self, words: Counter[str]) -> float:
+        f, x = features(words)
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[f] @ x, -50, 50))))
 
 
@@ -240,7 +274,7 @@ def fit_linear(feats: list[np.ndarray], values: list[np.ndarray], y: np.ndarray,
     """Logistic regression on soft labels; both classes weigh the same, so rare toxic rows count."""
     weigh = y / max(y.sum(), 1e-9) + (1 - y) / max((1 - y).sum(), 1e-9)
     weigh *= len(y) / max(weigh.sum(), 1e-9)
-    w, b, seen, rng = np.zeros(BUCKETS + MORE), 0.0, np.full(BUCKETS + MORE, 1e-2), np.random.default_rng(seed)
+    w, b, seen, rng = np.zeros(BUCKETS), 0.0, np.full(BUCKETS, 1e-2), np.random.default_rng(seed)
     seen_b = 1e-2
     for _ in range(PASSES):
         order = rng.permutation(len(y))
@@ -263,18 +297,30 @@ def fit_linear(feats: list[np.ndarray], values: list[np.ndarray], y: np.ndarray,
 # ---------------------------------------------------------------- the operator
 
 
-def vote_counts(rows: DataFrame, voters: Voters) -> list[tuple[bytes, int, int]]:
-    """(votes, class, rows) over a whole table of (text, class); patterns are bounded by what words occur together."""
+def vote_counts(rows: DataFrame, voters: Voters) -> DataFrame:
+    """votes, class, rows: the distinct vote patterns of a table of (text, class), counted where they are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = Counter((voters.votes(words_of(t)), c) for t, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array([v.to_bytes(voters.size, "little") for v, _ in found], pa.binary()), pa.array([c for _, c in found], pa.int32()), pa.array(list(found.values()), pa.int64())], ["votes", "class", "n"])
+
+    return rows.mapInArrow(run, "votes binary, class int, n long").groupBy("votes", "class").agg(F.sum("n").alias("n"))
+
+
+def summed(counts: DataFrame, voters: Voters, weigh: Callable[[np.ndarray, np.ndarray, np.ndarray], Moments]) -> Moments:
+    """``weigh(votes, class, rows)`` summed over a table of patterns where it lies; the driver gets one row of moments a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[tuple[int, int]] = Counter()
+        total = Moments.none(voters.number)
         for b in batches:
-            found.update((voters.votes(words_of(t)), c) for t, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-        size = voters.number // 8 + 1
-        yield pa.RecordBatch.from_arrays([pa.array([v.to_bytes(size, "little") for v, _ in found], pa.binary()), pa.array([c for _, c in found], pa.int32()), pa.array(list(found.values()), pa.int64())], ["votes", "class", "n"])
+            total += weigh(voters.table(b.column(0).to_pylist()), b.column(1).to_numpy(), b.column(2).to_numpy().astype(float))
+        yield pa.RecordBatch.from_arrays([pa.array([total.flat().tobytes()], pa.binary())], ["m"])
 
-    found = rows.mapInArrow(run, "votes binary, class int, n long").groupBy("votes", "class").agg(F.sum("n").alias("n")).collect()
-    return sorted((bytes(r["votes"]), r["class"], r["n"]) for r in found)
+    total = Moments.none(voters.number)
+    for r in counts.mapInArrow(run, "m binary").toLocalIterator():
+        total += Moments.from_flat(np.frombuffer(bytes(r["m"])), voters.number)
+    return total
 
 
 def sampled(rows: DataFrame, most: int, seed: int) -> DataFrame:
@@ -292,8 +338,8 @@ def training_rows(rows: DataFrame, voters: Voters) -> DataFrame:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words = words_of(text)
                 votes = voters.votes(words)
-                f, x = features(words, votes)
-                out.append((doc_id, f.astype("<i4").tobytes(), np.rint(255 * x).astype(np.uint8).tobytes(), votes.to_bytes(voters.number // 8 + 1, "little")))
+                f, x = features(words)
+                out.append((doc_id, f.astype("<i4").tobytes(), np.rint(255 * x).astype(np.uint8).tobytes(), votes.to_bytes(voters.size, "little")))
             if out:
                 kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "f", "x", "votes"])
@@ -324,17 +370,15 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED, sam
     n = (n.get(0, 0), n.get(1, 0))
     voters = Voters(find_stems(cut(stem_counts(labelled)), n))
     prior = float(np.clip(n[1] / max(1, sum(n)), 0.001, 0.5)) if n[1] else 0.05
-    bits_of = lambda v: [v[k // 8] >> k % 8 & 1 for k in range(voters.number)]
-    counts = vote_counts(rows.select("text", F.lit(0).alias("class")), voters)
-    seen = vote_counts(labelled.select("text", "toxic"), voters)
-    table = lambda c: np.array([bits_of(v) for v, _, _ in c], float).reshape(len(c), voters.number)
-    known_rows = (table(seen), np.array([c for _, c, _ in seen], float), np.array([k for _, _, k in seen], float))
-    model = fit_labels(table(counts), np.array([k for _, _, k in counts], float), prior, known_rows)
+    # each pattern's rows are in one task, in a fixed order; there they stay
+    counts = cut(vote_counts(rows.select("text", F.lit(0).alias("class")), voters).sortWithinPartitions("votes"))
+    known = summed(vote_counts(labelled.select("text", "toxic"), voters).sortWithinPartitions("votes", "class"), voters, lambda v, c, n: Moments.of(v, np.stack([n * (c == 0), n * (c == 1)])))
+    model = fit_labels(lambda m: summed(counts, voters, lambda v, _, n: expected(v, n, m)), voters.number, prior, known)
     picked = sampled(rows, sample, 2).select("doc_id", "text").unionByName(sampled(labelled.where("toxic = 1"), sample, 3).select("doc_id", "text"))
     got = sorted((r["doc_id"] or 0, bytes(r["f"]), bytes(r["x"]), bytes(r["votes"])) for r in training_rows(picked, voters).toLocalIterator())
     if not got:
-        return Trained(voters, model, Linear(np.zeros(BUCKETS + MORE, np.float32), -5.0))
-    odds = model.log_odds(np.array([bits_of(v) for *_, v in got], float))
+        return Trained(voters, model, Linear(np.zeros(BUCKETS, np.float32), -5.0))
+    odds = model.log_odds(voters.table([v for *_, v in got]))
     feats, values = [np.frombuffer(f, "<i4") for _, f, _, _ in got], [np.frombuffer(x, np.uint8) / np.float32(255) for _, _, x, _ in got]
     return Trained(voters, model, fit_linear(feats, values, 1 / (1 + np.exp(-np.clip(odds, -50, 50)))))
 
@@ -344,7 +388,7 @@ def score(docs: DataFrame, model: Trained) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            p = np.array([model.linear.score(w, model.voters.votes(w)) for w in map(words_of, b.column(1).to_pylist())], float)
+            p = np.array([model.linear.score(w) for w in map(words_of, b.column(1).to_pylist())], float)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     return texts(docs).withColumn("held_out", held_out()).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")

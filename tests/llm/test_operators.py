@@ -662,14 +662,41 @@ def test_label_model_tells_voters_apart():
     good = [np.where(y, rng.random(4000) < 0.6, rng.random(4000) < 0.01) for _ in range(3)]
     votes = np.stack([*good, good[0], rng.random(4000) < 0.1], axis=1).astype(float)
     patterns, inverse, n = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
-    known = (votes[:400], y[:400].astype(float), np.ones(400))
-    model = toxicity.fit_labels(patterns, n.astype(float), 0.2, known)
+    known = toxicity.Moments.of(votes[:400], np.stack([1.0 - y[:400], 1.0 * y[:400]]))
+    model = toxicity.fit_labels(lambda m: toxicity.expected(patterns, n.astype(float), m), 5, 0.2, known)
     p = model.log_odds(votes) > 0
     assert (p == y).mean() > 0.9
     assert (model.fires[1, :4] > 0.3).all() and model.fires[1, 4] < 0.2
     assert model.share[0] < 0.7 and model.share[3] < 0.7 and model.share[4] > 0.8  # a copy of a voter shares its weight
 
 
+def test_moments_are_those_of_all_rows(spark):
+    """Distributed sums over patterns against a loop over rows; shares against correlations of the rows themselves."""
+    rng = np.random.default_rng(3)
+    voters = toxicity.Voters([f"stem{k}" for k in range(6)])
+    insults = [w for words in toxicity.LEXICON.values() for w in words] + [f"stem{k}x" for k in range(6)]
+    texts = [" ".join(rng.choice(insults, rng.integers(0, 4))) for _ in range(300)]
+    rows = spark.createDataFrame([(t, int(k % 3 == 0)) for k, t in enumerate(texts)], "text string, class int").repartition(5)
+    counts = toxicity.vote_counts(rows, voters)
+    bits = np.array([[voters.votes(toxicity.words_of(t)) >> k & 1 for k in range(voters.number)] for t in texts], float)
+    kind = np.arange(300) % 3 == 0
+    known = toxicity.summed(counts, voters, lambda v, c, n: toxicity.Moments.of(v, np.stack([n * (c == 0), n * (c == 1)])))
+    for c in (0, 1):
+        own = bits[kind == c]
+        assert known.rows[c] == len(own) and (known.votes[c] == own.sum(axis=0)).all()
+        assert (known.meet[c] == own.T @ own).all() and known.silent[c] == (own.sum(axis=1) == 0).sum()
+    model = toxicity.fit_labels(lambda m: toxicity.expected(bits, np.ones(300), m), voters.number, 0.3, known)
+    got = toxicity.summed(counts, voters, lambda v, _, n: toxicity.expected(v, n, model)).flat()
+    assert np.allclose(got, toxicity.expected(bits, np.ones(300), model).flat())
+    fires = known.votes / known.rows[:, None]
+    centred = np.concatenate([bits[kind == c] - fires[c] for c in (0, 1)])
+    cov = centred.T @ centred
+    corr = cov / np.sqrt(np.maximum(np.outer(np.diag(cov), np.diag(cov)), 1e-12))
+    np.fill_diagonal(corr, 0)
+    corr[np.abs(corr) < 3 / np.sqrt(300)] = 0
+    assert np.allclose(toxicity._shares(known, fires), 1 / (1 + (np.maximum(corr, 0) ** 2).sum(axis=1)))
+
+
 def test_toxic_texts(spark):
     rng = random.Random(7)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
