@@ -44,6 +44,8 @@ STEMS, LEAST = (3, 4, 5, 6, 7), 0.006
 PATTERNS, LABELLED, SAMPLE = 40, 20_000, 8_000
 #: How many rows a labelled one counts for in the label model, and its most rounds.
 KNOWN, ROUNDS = 5.0, 40
+#: Parts that vote patterns are dealt to; a round is one job with so many tasks.
+PARTS = 32
 #: Lengths of word beginnings that are features; a feature is 1 from this share of a text's words on.
 FEATURE_STEMS, FULL = (3, 5, 7), 0.015
 #: Hashed features, passes and rate of the classifier.
@@ -309,7 +311,10 @@ def vote_counts(rows: DataFrame, voters: Voters) -> DataFrame:
 
 
 def summed(counts: DataFrame, voters: Voters, weigh: Callable[[np.ndarray, np.ndarray, np.ndarray], Moments]) -> Moments:
-    """``weigh(votes, class, rows)`` summed over a table of patterns where it lies; the driver gets one row of moments a task."""
+    """``weigh(votes, class, rows)`` summed over a table of patterns where it lies; the driver gets one row of moments a task.
+
+    ``counts`` should lie in a bounded number of parts, as a task reads its part batch by batch and each sends voters squared numbers.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = Moments.none(voters.number)
@@ -318,7 +323,7 @@ def summed(counts: DataFrame, voters: Voters, weigh: Callable[[np.ndarray, np.nd
         yield pa.RecordBatch.from_arrays([pa.array([total.flat().tobytes()], pa.binary())], ["m"])
 
     total = Moments.none(voters.number)
-    for r in counts.mapInArrow(run, "m binary").toLocalIterator():
+    for r in counts.mapInArrow(run, "m binary").collect():  # one job, and PARTS rows
         total += Moments.from_flat(np.frombuffer(bytes(r["m"])), voters.number)
     return total
 
@@ -371,8 +376,8 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED, sam
     voters = Voters(find_stems(cut(stem_counts(labelled)), n))
     prior = float(np.clip(n[1] / max(1, sum(n)), 0.001, 0.5)) if n[1] else 0.05
     # each pattern's rows are in one task, in a fixed order; there they stay
-    counts = cut(vote_counts(rows.select("text", F.lit(0).alias("class")), voters).sortWithinPartitions("votes"))
-    known = summed(vote_counts(labelled.select("text", "toxic"), voters).sortWithinPartitions("votes", "class"), voters, lambda v, c, n: Moments.of(v, np.stack([n * (c == 0), n * (c == 1)])))
+    counts = cut(vote_counts(rows.select("text", F.lit(0).alias("class")), voters).repartition(PARTS, "votes").sortWithinPartitions("votes"))
+    known = summed(vote_counts(labelled.select("text", "toxic"), voters).repartition(PARTS, "votes").sortWithinPartitions("votes", "class"), voters, lambda v, c, n: Moments.of(v, np.stack([n * (c == 0), n * (c == 1)])))
     model = fit_labels(lambda m: summed(counts, voters, lambda v, _, n: expected(v, n, m)), voters.number, prior, known)
     picked = sampled(rows, sample, 2).select("doc_id", "text").unionByName(sampled(labelled.where("toxic = 1"), sample, 3).select("doc_id", "text"))
     got = sorted((r["doc_id"] or 0, bytes(r["f"]), bytes(r["x"]), bytes(r["votes"])) for r in training_rows(picked, voters).toLocalIterator())
