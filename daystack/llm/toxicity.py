@@ -10,9 +10,11 @@ classifier on hashed words and word beginnings is trained on; scores are the cla
 Rows that are held out are never looked at in training.  Votes are counted over all other rows; patterns
 and the classifier are fitted on bounded samples of them.
 
-Edge cases: a null or empty text has no features and gets the classifier's score for none; repeated
-rows repeat; without toxic labels the lexicon alone votes; an empty table gives an empty result; other
-columns are ignored.
+Edge cases: a null or empty text has no features and gets the classifier's score for none; texts of any
+length are read whole; a row with a null doc_id is not held out, its votes count, and the classifier is
+not fitted on it; repeated rows repeat, and equal texts have equal scores; a doc_id with several labels is
+toxic if any says so; without toxic labels the lexicon alone votes; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -329,7 +331,8 @@ def summed(counts: DataFrame, voters: Voters, weigh: Callable[[np.ndarray, np.nd
 
 
 def sampled(rows: DataFrame, most: int, seed: int) -> DataFrame:
-    """About ``most`` rows, by a hash of the id."""
+    """About ``most`` rows, by a hash of the id; rows without one would all be in or all be out, and are out."""
+    rows = rows.where("doc_id is not null")
     share = min(1.0, most / max(1, rows.count()))
     return rows.where(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000)) < share * 1_000_000)
 
