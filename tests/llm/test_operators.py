@@ -733,3 +733,9 @@ def test_quality(spark, documents):
     out = quality.classify(documents.selectExpr("doc_id", "text", "source as host", "lang as path"), model).collect()
     judged = [(r.predicted, labels[r.doc_id]) for r in out if labels.get(r.doc_id) is not None]
     assert np.mean([a == b for a, b in judged]) > 0.9
+
+
+def test_toxicity_samples_no_rows_without_an_id(spark):
+    rows = spark.createDataFrame([(None, "a")] * 50 + [(k, "b") for k in range(20)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in toxicity.sampled(rows, 1000, 2).collect()) == list(range(20))
+    assert all(r.doc_id is not None for r in toxicity.sampled(rows, 5, 2).collect())
