@@ -11,12 +11,15 @@ Training is on counts over all training texts: of triples of classes, and of pai
 word.  The vocabulary is every word that occurs ``LEAST`` times, up to ``VOCABULARY``, so it grows with the corpus up to
 there; which words these are, and so every score, does not depend on how rows are dealt to tasks.
 
-Counts of single words have no such bound and stay distributed: each text's words travel once, packed
-by ranges of hashes, to where all counts of a range meet; what goes back is a sum for each text and
-range.  Ranges are as many as their bytes ask for.  Words are told apart by 56 bits of a hash and the range.
+Counts of single words have no such bound.  Those of the ``COUNTED`` most frequent words are in every task;
+all others stay distributed.  A task holds texts up to ``HELD`` such words, and each different one travels
+once for all these texts, packed by ranges of hashes, to where all counts of a range meet; what goes back is
+its count.  Texts wait in the shared folder for these counts, so no text is sent or named once for each range,
+and what travels does not depend on how many ranges there are.  Ranges are as many as their bytes ask for.
+Words are told apart by 56 bits of a hash and the range.
 
 Edge cases: a null or empty text is the end token alone; texts of any length are scored whole; rows that
-share doc_id and text are scored alike, and counted each; ties in frequency go to the word that sorts
+repeat are scored alike, and counted each; ties in frequency go to the word that sorts
 first; a null doc_id is in no held-out part, so its text trains; without training texts every word is
 unknown; an empty table gives an empty result; other columns are ignored.
 """
@@ -30,29 +33,30 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from daystack.llm.common import cut, remainder, texts
+from daystack.llm.common import cut, rank_rows, remainder, texts
 
 #: Classes, of which so many are frequent words; the next is the end token, the others go by endings.
 CLASSES, FREQUENT = 128, 80
 END = FREQUENT
 #: Words with outcomes of their own: so many at most, and how often one occurs in training at least.
 VOCABULARY, LEAST = 16_384, 32
-#: Words of which a task holds counts before it sends them on.
-HELD = 1_000_000
+#: Words of which every task has the counts, at most.
+COUNTED = 262_144
+#: Words of which a task holds counts before it sends them on, and as how many of them a text counts besides its own.
+HELD, TEXT = 1_000_000, 10
 #: Bytes of packed words in a range, about, and of one word.
-RANGE_BYTES, WORD_BYTES = 16 << 20, 13
+RANGE_BYTES, WORD_BYTES = 16 << 20, 11
 #: The model of classes: numbers a class, triples a step, steps, noise words a step, rate.
 WIDTH, STEP, STEPS, NOISE, RATE = 32, 4096, 1500, 64, 0.08
 #: The model of words: noise words for each word, rounds over all counts, rate, decay.
 WORD_NOISE, ROUNDS, WORD_RATE, DECAY = 8, 200, 0.3, 1e-7
-#: Slices in which counts are summed.
+#: Slices in which counts are summed, at least.
 SLICES = 16
-#: The kind of a word that is an outcome of its own.
-OWN = 255
 
 
 def words_of(text: str) -> list[bytes]:
@@ -64,28 +68,35 @@ def ending_class(word: bytes) -> int:
 
 
 class Vocabulary:
-    """Numbers of words: frequent ones from 0, then classes, then the other words; ``words`` are sorted by frequency."""
+    """Numbers of words: frequent ones from 0, then classes, then the other words, then ``more``, words outside the vocabulary; ``words`` are sorted by frequency."""
 
-    def __init__(self, words: list[bytes]) -> None:
-        self.frequent, self.others = words[:FREQUENT], words[FREQUENT:]
-        #: Of each number its class, and its place among the outcomes within classes; the last place is certain.
-        self.classes = np.array([*range(CLASSES), *map(ending_class, self.others)], np.int64)
+    def __init__(self, words: list[bytes], more: list[bytes] = ()) -> None:
+        self.frequent, self.others, self.more = words[:FREQUENT], words[FREQUENT:], list(more)
         own = len(self.others)
+        #: Of each number its class, and its place among the outcomes within classes; the last place is certain.
+        self.classes = np.array([*range(CLASSES), *map(ending_class, self.others), *map(ending_class, self.more)], np.int64)
         rest = np.concatenate([np.full(END + 1, own + CLASSES), own + np.arange(END + 1, CLASSES)])
-        self.places = np.concatenate([rest, np.arange(own)])
+        self.places = np.concatenate([rest, np.arange(own), own + self.classes[CLASSES + own :]])
         #: Classes of the outcomes within classes: words, then one for the rest of each class.
-        self.outcomes = np.concatenate([self.classes[CLASSES:], np.arange(CLASSES)])
+        self.outcomes = np.concatenate([self.classes[CLASSES : CLASSES + own], np.arange(CLASSES)])
 
     def numbers(self) -> Numbers:
         return Numbers(self)
 
+    def spread(self, values: np.ndarray) -> np.ndarray:
+        """``values`` of the words (frequent, others, more) by number; 0 for classes."""
+        out = np.zeros(len(self.classes))
+        out[: len(self.frequent)] = values[: len(self.frequent)]
+        out[CLASSES:] = values[len(self.frequent) :]
+        return out
+
 
 class Numbers(dict):
-    """Word (bytes) -> number, in one task; endings are remembered, words outside the vocabulary are not."""
+    """Word (bytes) -> number, in one task; endings are remembered, words without a number are not."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__({w: k for k, w in enumerate(vocabulary.frequent)})
-        self.update({w: CLASSES + k for k, w in enumerate(vocabulary.others)})
+        self.update({w: CLASSES + k for k, w in enumerate([*vocabulary.others, *vocabulary.more])})
         self.endings: dict[bytes, int] = {}
 
     def __missing__(self, word: bytes) -> int:
@@ -122,10 +133,54 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def commonest(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray]:
+    """The ``most`` most frequent words, and how often they occur; of equally frequent ones those that sort first.
+
+    The driver gets how many words have each count, and then these words alone, not the first of every task.
+    """
+    levels = counts.groupBy("n").count().toArrow()
+    n, words = (levels.column(c).to_numpy() for c in ("n", "count"))
+    order = np.argsort(-n)
+    n, upto = n[order], np.cumsum(words[order])
+    whole = int(np.searchsorted(upto, most, "right"))  # so many levels fit as they are
+    left = most - (int(upto[whole - 1]) if whole else 0)
+    parts = [counts.where(F.col("n") >= int(n[whole - 1]))] if whole else []
+    if left and whole < len(n):
+        parts.append(rank_rows(counts.where(F.col("n") == int(n[whole])), [], ["word"]).where(F.col("rank") < left).select("word", "n"))
+    top = []
+    for t in parts:
+        got = t.toArrow()
+        top += zip(got.column("word").to_pylist(), got.column("n").to_pylist(), strict=True)
+    top.sort(key=lambda x: (-x[1], x[0]))
+    return [w for w, _ in top], np.array([k for _, k in top], np.int64)
+
+
+def vocabulary_size(n: np.ndarray, most: int = VOCABULARY, least: int = LEAST) -> int:
+    """How many of words that occur ``n`` times, the most frequent first, have outcomes of their own."""
+    return min(most, max(min(len(n), FREQUENT), int((n >= least).sum())))
+
+
 def vocabulary_of(counts: DataFrame, most: int = VOCABULARY, least: int = LEAST) -> Vocabulary:
     """The most frequent words, and of those not so frequent the ones that occur ``least`` times."""
-    top = counts.orderBy(F.desc("n"), "word").limit(most).collect()
-    return Vocabulary([bytes(r["word"]) for k, r in enumerate(top) if k < FREQUENT or r["n"] >= least])
+    words, n = commonest(counts, most)
+    return Vocabulary(words[: vocabulary_size(n, most, least)])
+
+
+def outside(counts: DataFrame, vocabulary: Vocabulary, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Of each class how often words outside the vocabulary occur and how many there are; the same of all words.
+
+    ``n``: how often the vocabulary's words occur.
+    """
+    seen, distinct = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+    for r in counts.groupBy(F.substring("word", -2, 2).alias("ending")).agg(F.sum("n").alias("n"), F.count("n").alias("words")).collect():
+        c = ending_class(bytes(r["ending"]))
+        seen[c] += r["n"]
+        distinct[c] += r["words"]
+    total = int(seen.sum()), int(distinct.sum())
+    own = np.array([ending_class(w) for w in (*vocabulary.frequent, *vocabulary.others)], np.int64)
+    np.subtract.at(seen, own, n[: len(own)])
+    np.subtract.at(distinct, own, 1)
+    return seen, distinct, *total
 
 
 def class_counts(rows: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +190,8 @@ def class_counts(rows: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, n
     """
     triples, places = CLASSES**3, len(vocabulary.outcomes) + 1
     size = triples + CLASSES * places
-    width = -(-size // SLICES)
+    slices = max(SLICES, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # a task for each, however many tasks count
+    width = -(-size // slices)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, total = vocabulary.numbers(), np.zeros(size, np.int64)
@@ -146,8 +202,8 @@ def class_counts(rows: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, n
                 np.add.at(total, (c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], 1)
                 np.add.at(total, triples + c[1:-1] * places + vocabulary.places[s[2:]], 1)
         at = np.flatnonzero(total)
-        bounds = np.searchsorted(at, np.arange(SLICES + 1) * width)
-        for k in range(SLICES):
+        bounds = np.searchsorted(at, np.arange(slices + 1) * width)
+        for k in range(slices):
             part = at[bounds[k] : bounds[k + 1]]
             if len(part):
                 blob = (part - k * width).astype("<u4").tobytes() + total[part].astype("<i8").tobytes()
@@ -169,133 +225,71 @@ def class_counts(rows: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, n
     return out[:triples].reshape(CLASSES, CLASSES, CLASSES), out[triples:].reshape(CLASSES, places)[:, :-1]
 
 
-FORWARD = ("doc", "<i8"), ("crc", "<u4"), ("train", "u1"), ("count", "<u4")
+#: What is known of a text where it is read: sums over the words that have numbers, and its other words.
+TEXTS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("part", pa.float64()), ("logs", pa.float64()), ("known", pa.int64()), ("at", pa.list_(pa.uint32())), ("n", pa.list_(pa.uint32()))])
+#: Range of the message that holds a batch's texts.
+OWN = -1
+
 
+def packed(held: list[tuple], ranges: int) -> Iterator[tuple[int, bytes]]:
+    """Messages (range, bytes) of a batch of texts: the texts, and for each range their different words with training counts.
 
-def pack_counts(docs: list[tuple], ranges: int) -> Iterator[tuple[int, bytes]]:
-    """(range, bytes) of (doc_id, crc, train, hashes, counts, classes) each: what the range has of each text."""
-    owner = np.repeat(np.arange(len(docs)), [len(d[3]) for d in docs])
-    hashes, counts, classes = (np.concatenate([d[k] for d in docs]) for k in (3, 4, 5))
-    part = (hashes % np.uint64(ranges)).astype(np.int64)
+    ``held``: the columns of ``TEXTS``, with hashes of words in place of ``at``, which says where a word is
+    among the batch's, these being sorted by range.
+    """
+    *plain, hashes, counts = zip(*held, strict=True)
+    each = np.array([len(h) for h in hashes], np.int64)
+    hashes, counts = np.concatenate(hashes), np.concatenate(counts)
+    train = np.repeat(~np.array(plain[1], bool), each)
+    distinct, at = np.unique(hashes, return_inverse=True)
+    seen = np.bincount(at, counts * train, len(distinct)).astype("<u4")
+    part = (distinct % np.uint64(ranges)).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    hashes, owner, part, counts, classes = (x[order] for x in (hashes, owner, part, counts, classes))
-    bounds = np.searchsorted(part, np.arange(ranges + 1))
-    info = [np.array([d[k] for d in docs], t) for k, (_, t) in enumerate(FORWARD[:3])]
+    place = np.empty(len(order), np.uint32)
+    place[order] = np.arange(len(order), dtype=np.uint32)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(each)]).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.uint32))) for x in (place[at], counts)]
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, TEXTS, options=pa.ipc.IpcWriteOptions(compression="lz4")) as stream:
+        stream.write_batch(pa.RecordBatch.from_arrays([*(pa.array(x, f.type) for x, f in zip(plain, TEXTS, strict=False)), *lists], schema=TEXTS))
+    yield OWN, sink.getvalue().to_pybytes()
+    high = distinct[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 1:]
+    seen, bounds = seen[order], np.searchsorted(part[order], np.arange(ranges + 1))
     for r in range(ranges):
         lo, hi = bounds[r], bounds[r + 1]
-        if lo == hi:
-            continue
-        o = owner[lo:hi]
-        starts = np.flatnonzero(np.concatenate([[True], o[1:] != o[:-1]]))
-        each = np.diff(np.append(starts, hi - lo)).astype("<u4")
-        high = np.ascontiguousarray(hashes[lo:hi]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, 1:]
-        yield r, b"".join((np.uint32(len(each)).tobytes(), *[x[o[starts]].tobytes() for x in info], each.tobytes(), high.tobytes(), counts[lo:hi].astype("<u4").tobytes(), classes[lo:hi].astype("u1").tobytes()))
-
-
-def unpack_counts(blob: bytes) -> list[np.ndarray]:
-    """doc_ids, crcs, train, numbers of words; hashes, counts, classes."""
-    n = int(np.frombuffer(blob, "<u4", 1)[0])
-    at, out = 4, []
-    for _, kind in FORWARD:
-        out.append(np.frombuffer(blob, kind, n, at))
-        at += n * np.dtype(kind).itemsize
-    m = int(out[3].sum())
-    wide = np.zeros((m, 8), np.uint8)
-    wide[:, 1:] = np.frombuffer(blob, np.uint8, 7 * m, at).reshape(-1, 7)
-    at += 7 * m
-    return [*out, wide.view("<u8").ravel(), np.frombuffer(blob, "<u4", m, at).astype(np.int64), np.frombuffer(blob, "u1", m, at + 4 * m).astype(np.int64)]
-
+        if lo < hi:
+            yield r, np.uint32(hi - lo).tobytes() + high[lo:hi].tobytes() + zlib.compress(seen[lo:hi].tobytes(), 1)
 
-def word_sums(rows: DataFrame, vocabulary: Vocabulary, ranges: int) -> DataFrame:
-    """doc_id, crc, logs (sum over the text's words of log10(count + 1)), rest (that of words outside the vocabulary), known (its words that training has).
 
-    One further row has, in ``seen``, how many words training has of each class outside the vocabulary,
-    in ``distinct`` how many different ones, in ``logs`` how many words in all, and in ``known`` how many
-    different ones.  ``rows``: doc_id, text, train.
-    """
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = vocabulary.numbers()
-        held: list[tuple] = []
-        n = 0
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and training counts of a message to a range."""
+    m = int(np.frombuffer(blob, "<u4", 1)[0])
+    wide = np.zeros((m, 8), np.uint8)
+    wide[:, 1:] = np.frombuffer(blob, np.uint8, 7 * m, 4).reshape(-1, 7)
+    return wide.view("<u8").ravel(), np.frombuffer(zlib.decompress(blob[4 + 7 * m :]), "<u4")
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for r, blob in pack_counts(held, ranges) if held else ():
-                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([blob], pa.binary())], ["r", "blob"])
-            held.clear()
 
-        for b in batches:
-            for doc_id, text, train in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                words = words_of(text)
-                if not words:
-                    continue
-                h = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
-                h, first, count = np.unique(h, return_index=True, return_counts=True)
-                kind = numbers.of([words[k] for k in first.tolist()])
-                kind = np.where((kind < END) | (kind >= CLASSES), OWN, kind)
-                held.append((doc_id or 0, zlib.crc32(text.encode()), train, h, count, kind))
-                n += len(h)
-                if n > HELD:
-                    yield from out()
-                    n = 0
-        yield from out()
+def meet(table: pa.Table) -> pa.Table:
+    """Messages to one range -> answers: how often each of a message's words occurs in training."""
+    parts = [unpacked(x) for x in table.column("blob").to_pylist()]
+    bounds = np.cumsum([0, *(len(h) for h, _ in parts)])
+    _, at = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+    total = np.bincount(at, np.concatenate([c for _, c in parts]))[at].astype("<u4")
+    answers = [total[lo:hi].tobytes() for lo, hi in zip(bounds, bounds[1:], strict=False)]
+    return pa.table([table.column("g"), table.column("r"), pa.array(answers, pa.binary())], ["g", "r", "blob"])
 
-    def meet(table: pa.Table) -> pa.Table:
-        r = table.column("r")[0].as_py()
-        parts = [unpack_counts(x) for x in table.column("blob").to_pylist()]
-        doc, crc, train, each, hashes, counts, kinds = (np.concatenate([p[k] for p in parts]) for k in range(7))
-        del parts
-        owner = np.repeat(np.arange(len(doc)), each)
-        order = np.argsort(hashes)
-        t = hashes[order]
-        starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-        seen = np.add.reduceat((counts * train[owner])[order], starts)
-        c = np.empty(len(t), np.int64)
-        c[order] = np.repeat(seen, np.diff(np.append(starts, len(t))))
-        each_log = counts * np.log10(c + 1.0)
-        logs = np.bincount(owner, each_log, len(doc))
-        rest = np.bincount(owner, each_log * (kinds != OWN), len(doc))
-        known = np.bincount(owner, counts * (c > 0), len(doc)).astype("<u4")
-        kind = kinds[order][starts]
-        classes = np.bincount(kind, seen, OWN + 1)[:CLASSES], np.bincount(kind[seen > 0], minlength=OWN + 1)[:CLASSES]
-        totals = np.concatenate([[seen.sum(), (seen > 0).sum()], *classes]).astype("<i8")
-        _, first = np.unique(np.stack([doc, crc.astype(np.int64)]), axis=1, return_index=True)  # rows that repeat
-        group = doc[first] % ranges
-        sort = np.argsort(group, kind="stable")
-        first, group = first[sort], group[sort]
-        bounds = np.searchsorted(group, np.arange(ranges + 1))
-        out = [(ranges, totals.tobytes())]
-        for g, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
-            if lo < hi:
-                k = first[lo:hi]
-                out.append((g, b"".join((doc[k].astype("<i8").tobytes(), crc[k].astype("<u4").tobytes(), logs[k].astype("<f8").tobytes(), rest[k].astype("<f8").tobytes(), known[k].tobytes()))))
-        return pa.table({"g": pa.array([g for g, _ in out], pa.int32()), "r": pa.array([r] * len(out), pa.int32()), "blob": pa.array([x for _, x in out], pa.binary())})
-
-    names = ["doc_id", "crc", "logs", "rest", "known", "seen", "distinct"]
-    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
 
-    def add(table: pa.Table) -> pa.Table:
-        blobs = [x for _, x in sorted(zip(table.column("r").to_pylist(), table.column("blob").to_pylist(), strict=True))]  # so that sums come out alike
-        if table.column("g")[0].as_py() == ranges:
-            total = sum(np.frombuffer(x, "<i8") for x in blobs)
-            row = (None, None, float(total[0]), None, int(total[1]), total[2 : 2 + CLASSES].tolist(), total[2 + CLASSES :].tolist())
-            return pa.table([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names)
-        cols: list[list[np.ndarray]] = [[], [], [], [], []]
-        for x in blobs:
-            n, at = len(x) // 32, 0
-            for col, kind in zip(cols, ("<i8", "<u4", "<f8", "<f8", "<u4"), strict=True):
-                col.append(np.frombuffer(x, kind, n, at))
-                at += n * np.dtype(kind).itemsize
-        doc, crc, logs, rest, known = (np.concatenate(c) for c in cols)
-        keys, at = np.unique(np.stack([doc, crc.astype(np.int64)]), axis=1, return_inverse=True)
-        at = at.ravel()
-        sums = (keys[0], keys[1], np.bincount(at, logs), np.bincount(at, rest), np.bincount(at, known).astype(np.int64))
-        return pa.table([*[pa.array(v, t) for v, t in zip(sums, kinds, strict=False)], *[pa.nulls(len(keys[0]), k) for k in kinds[5:]]], names)
-
-    # ranges, and groups of texts, are numbers below ``ranges``: one task each
-    sent = rows.mapInArrow(send, "r int, blob binary").repartitionById(ranges, F.col("r")).groupBy("r").applyInArrow(meet, "g int, r int, blob binary")
-    sums = sent.repartitionById(ranges + 1, F.col("g")).groupBy("g")
-    return sums.applyInArrow(add, "doc_id long, crc long, logs double, rest double, known long, seen array<long>, distinct array<long>")
+def complete(table: pa.Table) -> pa.Table:
+    """A batch's texts and the answers to it -> its texts, with sums over all their words.  Sums go by hash, so they come out alike in any batch."""
+    (_, own), *answers = sorted(zip(table.column("r").to_pylist(), table.column("blob").to_pylist(), strict=True))
+    out = pa.ipc.open_stream(own).read_all().combine_chunks()
+    total = np.frombuffer(b"".join(x for _, x in answers), "<u4")
+    at, n = (out.column(c).combine_chunks() for c in ("at", "n"))
+    owner = np.repeat(np.arange(len(at)), at.value_lengths().to_numpy())
+    c, n = total[at.flatten().to_numpy()], n.flatten().to_numpy()
+    rest, known = np.bincount(owner, n * np.log10(c + 1.0), len(at)), np.bincount(owner, n * (c > 0), len(at)).astype(np.int64)
+    sums = [out.column("part").to_numpy() + rest, out.column("logs").to_numpy() + rest, out.column("known").to_numpy() + known]
+    return pa.table([*out.columns[:3], *map(pa.array, sums)], TEXTS.names[:6])
 
 
 # ---------------------------------------------------------------- the neural model
@@ -405,44 +399,59 @@ def score(docs: DataFrame, most: int = VOCABULARY) -> DataFrame:
     rows = texts(docs).withColumn("held_out", held)
     learned = rows.where("not held_out").drop("held_out")
     counts = cut(word_counts(learned))
-    vocabulary = vocabulary_of(counts, most)
+    words, n = commonest(counts, max(most, COUNTED))
+    size = vocabulary_size(n, most)
+    vocabulary, counted = Vocabulary(words[:size]), Vocabulary(words[:size], words[size:])
+    seen, distinct, n_words, v_words = outside(counts, vocabulary, n)
     triples, pairs = class_counts(learned, vocabulary)
     model = train(triples)
-    tables = (model.log_probabilities() / np.log(10)).astype(np.float32).ravel(), (train_words(pairs, vocabulary.outcomes) / np.log(10)).astype(np.float32)
-    # packed words are at most as many as there are words, about
-    n_words = counts.agg(F.sum("n")).first()[0] or 0
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_words * WORD_BYTES // RANGE_BYTES))
-    sums = cut(word_sums(rows.select("doc_id", "text", (~F.col("held_out")).cast("int").alias("train")), vocabulary, ranges))
-    total = sums.where("seen is not null").first()
-    seen, distinct = (np.array(total[c] if total else [0] * CLASSES, np.int64) for c in ("seen", "distinct"))
+    of_class = (model.log_probabilities() / np.log(10)).astype(np.float32).ravel()
+    of_word = (train_words(pairs, vocabulary.outcomes) / np.log(10)).astype(np.float32)
+    of_word = np.concatenate([of_word, np.zeros((CLASSES, 1), np.float32)], axis=1)  # classes of one outcome
     ends = int(triples[:, :, END].sum())
-    n_train = int(total["logs"] if total else 0) + ends
-    v_train = int(total["known"] if total else 0) + (ends > 0)
-    shared = np.log10(seen + distinct + 1.0)  # what the count of a word outside the vocabulary is a share of
+    n_train, v_train = n_words + ends, v_words + (ends > 0)
+    # a word outside the vocabulary has of its class's last outcome what its count is of all
+    shared = np.log10(seen + distinct + 1.0)
     shared[: END + 1] = 0
-    fixed = spark.sparkContext.broadcast((vocabulary, *tables, shared))
+    logs, known = counted.spread(np.log10(n + 1.0)), counted.spread(np.ones(len(n))).astype(np.int64)
+    more = len(counted.classes) - len(counted.more)
+    share = np.concatenate([-shared, np.zeros(more - CLASSES), logs[more:] - shared[counted.classes[more:]]])
+    fixed = spark.sparkContext.broadcast((counted.numbers(), counted.classes, counted.places, of_class, of_word.ravel(), logs, known, share))
+    places = of_word.shape[1]
+    # words that travel are at most as many as occur, about
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(n_words - int(n.sum())) * WORD_BYTES // RANGE_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, of_class, of_word, shared = fixed.value
-        numbers = vocabulary.numbers()
-        places = of_word.shape[1] + 1
-        of_word = np.concatenate([of_word, np.zeros((CLASSES, 1), np.float32)], axis=1).ravel()  # classes of one outcome
-        shared = np.concatenate([shared, np.zeros(len(vocabulary.others))])
+        numbers, classes, place, of_class, of_word, logs, known, share = fixed.value
+        held: list[tuple] = []
+        g, n = TaskContext.get().partitionId() << 32, 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for r, blob in packed(held, ranges) if held else ():
+                yield pa.RecordBatch.from_arrays([pa.array([g], pa.int64()), pa.array([r], pa.int32()), pa.array([blob], pa.binary())], ["g", "r", "blob"])
+            held.clear()
+
         for b in batches:
-            out = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                s = np.concatenate([[END, END], numbers.of(words_of(text)), [END]])
-                c = vocabulary.classes[s]
+            for doc_id, text, held_out in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                words = words_of(text)
+                s = np.concatenate([[END, END], numbers.of(words), [END]])
+                c, of = classes[s], s[2:-1]
                 part = of_class[(c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:]].sum(dtype=np.float64)
-                part += of_word[c[1:-1] * places + vocabulary.places[s[2:]]].sum(dtype=np.float64) - shared[s[2:]].sum()
-                out.append((doc_id, zlib.crc32(text.encode()), len(s) - 2, float(part)))
-            if out:
-                cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)]
-                yield pa.RecordBatch.from_arrays([*cols, b.column(2)], ["doc_id", "crc", "n_tokens", "part", "held_out"])
-
-    scored = rows.mapInArrow(run, "doc_id long, crc long, n_tokens long, part double, held_out boolean")
-    words = sums.where("seen is null").select(F.col("doc_id").alias("_doc"), F.col("crc").alias("_crc"), "logs", "rest", "known")
-    out = scored.join(words, (F.coalesce("doc_id", F.lit(0)) == F.col("_doc")) & (F.col("crc") == F.col("_crc")), "left")
-    base = F.coalesce("logs", F.lit(0.0)) + F.lit(float(np.log10(ends + 1.0))) - F.col("n_tokens") * F.lit(float(np.log10(n_train + v_train + 1.0)))
-    known = F.coalesce("known", F.lit(0)) + F.lit(int(ends > 0))
-    return out.select("doc_id", "held_out", "n_tokens", known.alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("part") + F.coalesce("rest", F.lit(0.0))).alias("score"))
+                part += of_word[c[1:-1] * places + place[s[2:]]].sum(dtype=np.float64) + share[of].sum()
+                rare = np.flatnonzero((of > END) & (of < CLASSES)).tolist()
+                h, times = np.unique(np.fromiter((xxh3_64_intdigest(words[k]) for k in rare), np.uint64, len(rare)), return_counts=True)
+                held.append((doc_id, held_out, len(of) + 1, float(part), float(logs[of].sum()), int(known[of].sum()), h, times))
+                n += len(h) + TEXT
+                if n > HELD:
+                    yield from out()
+                    g, n = g + 1, 0
+        yield from out()
+
+    # kept, so that texts and the answers to them are of the same batches
+    sent = cut(rows.mapInArrow(run, "g long, r int, blob binary"))
+    answers = sent.where(F.col("r") != OWN).repartitionById(ranges, F.col("r")).groupBy("r").applyInArrow(meet, "g long, r int, blob binary")
+    out = answers.union(sent.where(F.col("r") == OWN)).groupBy("g")
+    out = out.applyInArrow(complete, "doc_id long, held_out boolean, n_tokens long, part double, logs double, known long")
+    base = F.col("logs") + F.lit(float(np.log10(ends + 1.0))) - F.col("n_tokens") * F.lit(float(np.log10(n_train + v_train + 1.0)))
+    known = F.col("known") + F.lit(int(ends > 0))
+    return out.select("doc_id", "held_out", "n_tokens", known.alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), F.col("part").alias("score"))

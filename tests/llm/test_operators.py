@@ -378,6 +378,61 @@ def test_vocabulary(spark):
     assert v.outcomes[v.places[ids[1]]] == v.classes[ids[1]] == language_model.ending_class(b"w079")
 
 
+def quick_model(monkeypatch, counted: int) -> None:
+    train, train_words = language_model.train, language_model.train_words
+    monkeypatch.setattr(language_model, "train", lambda triples: train(triples, steps=5))
+    monkeypatch.setattr(language_model, "train_words", lambda pairs, outcomes: train_words(pairs, outcomes, rounds=5))
+    monkeypatch.setattr(language_model, "COUNTED", counted, raising=False)
+
+
+def test_commonest_words(spark):
+    counts = spark.createDataFrame([(f"w{k % 7}{k:03}".encode(), n) for k, n in enumerate([9, 5, 5, 5, 5, 5, 2, 2, 1])], "word binary, n long")
+    ranked = sorted(((bytes(r["word"]), r["n"]) for r in counts.collect()), key=lambda x: (-x[1], x[0]))
+    for most in (1, 3, 6, 7, 9, 20):
+        words, n = language_model.commonest(counts, most)
+        assert list(zip(words, n.tolist(), strict=True)) == ranked[:most]
+
+
+def test_base_scores_of_words_that_travel(spark, monkeypatch):
+    quick_model(monkeypatch, 100)
+    monkeypatch.setattr(language_model, "HELD", 300)  # several batches a task
+    rng = np.random.default_rng(3)
+    rows = [(k if k else None, " ".join(f"w{x}" for x in rng.zipf(1.3, 40) % 3000)) for k in range(120)] + [(200, None), (201, "only here"), (201, "only here"), (2, "")]
+    out = language_model.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), most=50).collect()
+    held = lambda k: k is not None and crc(k, 7) == 2
+    words = [(k, [*(t or "").split(), None]) for k, t in rows]
+    c = Counter(w for k, ws in words if not held(k) for w in ws)
+    n, v = sum(c.values()), len(c)
+    want = sorted((k or -1, len(ws), sum(c[w] > 0 for w in ws), sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws)) for k, ws in words)
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.n_known, r.base_score) for r in out)
+    assert [x[:3] for x in got] == [x[:3] for x in want] and [x[3] for x in got] == pytest.approx([x[3] for x in want], rel=1e-9)
+    assert {r.train_tokens for r in out} == {n} and all(r.held_out == held(r.doc_id) for r in out)
+
+
+def test_bytes_shuffled_do_not_grow_with_ranges(spark, monkeypatch):
+    """What a text's words cost is the same however many ranges of hashes they are dealt over."""
+    quick_model(monkeypatch, 100)
+    rng = np.random.default_rng(4)
+    docs = spark.createDataFrame([(k, " ".join(f"word{x}" for x in rng.integers(0, 3000, 100))) for k in range(1000)], "doc_id long, text string").repartition(2)
+    gateway, store = spark.sparkContext._gateway, spark.sparkContext._jsc.sc().statusStore()
+
+    def stages() -> dict[int, int]:
+        every = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+        return {every.apply(k).stageId(): every.apply(k).shuffleWriteBytes() for k in range(every.size())}
+
+    before, took = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for ranges in (2, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", ranges)
+            done = set(stages())
+            assert len(language_model.score(docs, most=50).collect()) == 1000
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+            took.append(sum(n for k, n in stages().items() if k not in done))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert 0 < took[1] < 1.2 * took[0], took
+
+
 # ---------------------------------------------------------------- language identification
 
 
