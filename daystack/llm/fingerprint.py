@@ -1,9 +1,12 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame functions alone.
 
-A text's terms are its words, weighted by how often they occur.  For each of ``samples`` draws, gamma
-and uniform variates that depend on the term alone give every term a level not above its weight and a
-rank; the term of least rank and its level are the sample.  The odds that two texts' samples are equal
-are their generalised Jaccard similarity: the sum of the lesser weights over the sum of the greater.
+A text's terms are its words, weighted by how often they occur.  Each of a term's first ``levels`` unit
+levels has, in each of ``samples`` draws, a rank that is a hash of the term and the level: uniform, so no
+logarithm is taken.  What a weight has above them is sampled as one, however much it is: gamma and uniform
+variates that depend on the term alone give it a level not above that weight and an exponential variate of
+that rate, which goes back to the same uniform scale.  The level of least rank is the sample.  The odds that
+two texts' samples are equal are their generalised Jaccard similarity: the sum of the lesser weights over the
+sum of the greater.
 
 A text is sampled where it is read from, term by term, and only least ranks are kept.  For edits that
 need the next document, rows are dealt by ranges of doc_id, as many as tasks; each range also gets the
@@ -25,6 +28,8 @@ from daystack.llm.common import texts
 
 #: Draws: a likeness of s has a standard error of sqrt(s * (1 - s) / SAMPLES), 0.054 at 0.75 and 0.0625 at 0.5.
 SAMPLES = 64
+#: A term's weight up to here is sampled by unit levels, and what it has above by gamma variates.
+LEVELS = 4
 #: Ranges of doc_id for each partition of a shuffle.
 RANGES = 4
 
@@ -38,8 +43,8 @@ def _uniform(bits: Column, low: int, width: int) -> Column:
     return (part + F.lit(0.5)) * F.lit(2.0**-width)
 
 
-def _sample(term: Column, log_weight: Column, draw: int) -> Column:
-    """Rank of a term in a draw (high bits), and term and level as 32 bits: the least of all terms' is the sample.
+def _above(term: Column, log_weight: Column, draw: int) -> Column:
+    """The sample of the weight that a term has above its unit levels: rank (31 bits), then term and level as 32 bits.
 
     Two hashes of the term hold all its variates; a sample's name is made of both and the level.
     """
@@ -48,12 +53,18 @@ def _sample(term: Column, log_weight: Column, draw: int) -> Column:
     log_c = F.log(-F.log(_uniform(y, 32, 32) * _uniform(y, 0, 32)))
     beta = _uniform(x, 0, 22)
     level = F.floor(log_weight / r + beta)
-    log_a = log_c - r * (level - beta + F.lit(1.0))
-    rank = F.greatest(F.lit(0), ((log_a + F.lit(100.0)) * F.lit(float(1 << 23))).cast("long"))
+    log_a = log_c - r * (level - beta + F.lit(1.0))  # of an exponential variate whose rate is the weight
+    rank = F.least(F.lit((1 << 31) - 1), (-F.expm1(-F.exp(log_a)) * F.lit(2.0**31)).cast("long"))
     name = x.bitwiseXOR(y).bitwiseAND(F.lit(_LOW)) + level
     return F.shiftleft(rank, 32).bitwiseOR(name.bitwiseAND(F.lit(_LOW)))
 
 
+def _sample(term: Column, log_above: Column, draw: int) -> Column:
+    """Rank of a unit level (its hash as it is), or of what lies above them: the least of all terms' is the sample."""
+    unit = F.shiftrightunsigned(F.xxhash64(term, F.lit(draw)), 1)
+    return F.when(log_above.isNull(), unit).otherwise(_above(term, log_above, draw))
+
+
 def weighted_terms(rows: DataFrame, text: str, out: str) -> DataFrame:
     """``rows`` with ``out``: an array of (hash, count) of the text's words, none for null."""
     s, at = f"_{out}_sorted", f"_{out}_at"
@@ -66,12 +77,15 @@ def weighted_terms(rows: DataFrame, text: str, out: str) -> DataFrame:
     return rows.withColumn(out, runs).drop(s, at)
 
 
-def fingerprints(rows: DataFrame, key: list[str], terms: str, samples: int) -> DataFrame:
+def fingerprints(rows: DataFrame, key: list[str], terms: str, samples: int, levels: int = LEVELS) -> DataFrame:
     """For each ``key`` its samples (array<long>, empty without terms); rows of a key must be together already."""
-    each = rows.select(*key, F.explode_outer(terms).alias("_t")).select(*key, F.col("_t.term").alias("_term"), F.log(F.col("_t.n").cast("double")).alias("_w"))
-    least = each.groupBy(*key).agg(*[F.min(_sample(F.col("_term"), F.col("_w"), k)).alias(f"_s{k}") for k in range(samples)])
+    each = rows.select(*key, F.explode_outer(terms).alias("_t")).select(*key, F.col("_t.term").alias("_term"), F.col("_t.n").alias("_n"))
+    each = each.select(*key, "_term", "_n", F.explode_outer(F.sequence(F.lit(1), F.least("_n", F.lit(levels + 1)))).alias("_level"))
+    above = F.when(F.col("_level") > levels, F.log((F.col("_n") - levels).cast("double")))
+    each = each.select(*key, F.when(F.col("_term").isNotNull(), F.xxhash64("_term", "_level")).alias("_term"), above.alias("_w"))
+    least = each.groupBy(*key).agg(F.count("_term").alias("_n"), *[F.min(_sample(F.col("_term"), F.col("_w"), k)).alias(f"_s{k}") for k in range(samples)])
     found = F.array(*[F.col(f"_s{k}").bitwiseAND(F.lit(_LOW)) for k in range(samples)])
-    return least.select(*key, F.when(F.col("_s0").isNull(), F.array().cast("array<long>")).otherwise(found).alias("print"))
+    return least.select(*key, F.when(F.col("_n") == 0, F.array().cast("array<long>")).otherwise(found).alias("print"))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -119,7 +133,7 @@ def ranged(docs: DataFrame, ranges: int) -> DataFrame:
     return both.select("doc_id", "text", F.explode(places).alias("_p")).select("doc_id", "text", "_p.bucket", "_p.guard")
 
 
-def fingerprint_edits(docs: DataFrame, samples: int = SAMPLES, ranges: int | None = None) -> DataFrame:
+def fingerprint_edits(docs: DataFrame, samples: int = SAMPLES, ranges: int | None = None, levels: int = LEVELS) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     ranges = ranges or RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     w = Window.partitionBy("bucket").orderBy("guard", "doc_id", "text")
@@ -133,7 +147,7 @@ def fingerprint_edits(docs: DataFrame, samples: int = SAMPLES, ranges: int | Non
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
     two = F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("own").alias("terms")), F.struct(F.lit(1).alias("which"), F.col("other").alias("terms"))))
     rows = rows.select(*info, two.alias("_x")).select(*info, "_x.which", "_x.terms")
-    prints = fingerprints(rows, [*info, "which"], "terms", samples)
+    prints = fingerprints(rows, [*info, "which"], "terms", samples, levels)
     pair = prints.groupBy(*info).agg(F.max(F.when(F.col("which") == 0, F.col("print"))).alias("own"), F.max(F.when(F.col("which") == 1, F.col("print"))).alias("other"))
     pair = pair.withColumn("next", F.lead("own").over(Window.partitionBy("bucket").orderBy("row"))).where("not guard")
     return pair.select("doc_id", "n_chars", "edited_sha256", as_text("own").alias("fingerprint"), as_text("other").alias("edited_fingerprint"), likeness("own", "other").alias("near_edited"), likeness("own", "next").alias("near_next"))

@@ -693,6 +693,37 @@ def test_fingerprints_tell_near_copies_apart(documents, rows):
     assert all(len(r.fingerprint) in (0, 8 * 64) for r in out.values())
 
 
+def test_fingerprints_of_unit_levels(spark):
+    """Words that occur no more often than there are levels are ranked by hashes alone, occurrence by occurrence."""
+    texts = ["a b b c c c c", "b d d e", ""]
+    got = {r.doc_id: r for r in fingerprint.fingerprint_edits(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), samples=5, ranges=1).collect()}
+    units = [(k, w, level, draw) for k, t in enumerate(texts) for w, n in Counter(t.split()).items() for level in range(1, n + 1) for draw in range(5)]
+    hashed = spark.createDataFrame(units, "k int, w string, level int, draw int").selectExpr("k", "draw", "shiftrightunsigned(xxhash64(xxhash64(xxhash64(w), level), draw), 1) as h")
+    least = {(r.k, r.draw): r.h for r in hashed.groupBy("k", "draw").agg({"h": "min"}).withColumnRenamed("min(h)", "h").collect()}
+    for k, t in enumerate(texts):
+        assert got[k].fingerprint == "".join(f"{least[k, draw] & 0xFFFFFFFF:08x}" for draw in range(5) if t)
+
+
+@pytest.mark.parametrize("levels", [0, 2, 100])
+def test_fingerprints_of_heavy_weights(spark, levels):
+    """Levels one by one, and all above them at once, give the same likenesses."""
+    rng = random.Random(5)
+    texts = []
+    for _ in range(150):
+        some = {f"w{k}": rng.choice([1, 1, 2, 3, 5, 40]) for k in rng.sample(range(30), 12)}
+        texts.append(some)
+        texts.append({w: max(1, n + rng.choice([0, 0, 1, -2, n // 2])) for w, n in some.items() if rng.random() < 0.9} or some)
+    docs = spark.createDataFrame([(k, " ".join(w for w, n in t.items() for _ in range(n))) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.near_next for r in fingerprint.fingerprint_edits(docs, levels=levels).collect()}
+    error, variance = [], []
+    for k, t in enumerate(texts):
+        a, b = Counter(t), Counter(texts[(k + 1) % len(texts)])
+        s = sum((a & b).values()) / sum((a | b).values())
+        error.append(got[k] - s)
+        variance.append(s * (1 - s) / 64)
+    assert abs(np.mean(error)) < 0.015 and (np.array(error) ** 2).mean() ** 0.5 < 1.15 * np.mean(variance) ** 0.5
+
+
 def test_ranges_of_uneven_ids(spark):
     """One far-off id doesn't put all others in one range; a null id comes first and is what follows the last."""
     rows = [(k, f"a{k} b c d") for k in range(2000)] + [(2**61, "z y"), (None, "n m")]
