@@ -31,15 +31,23 @@ def load_state(spark: SparkSession, path: str) -> dict | None:
 
 
 def read_ledger(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
-    """Pending batches of a state file: kind, batch_id, article_ids, estimated_tokens; none if there are none to read."""
+    """Pending batches of a state: kind, batch_id, article_ids, estimated_tokens.
+
+    A state is a JSON object over the lines of a file, which is then read whole, or any number of objects
+    of one line each, over any number of files, each with some of the batches.  There are none
+    if there are none to read.
+    """
     try:
-        text = _text(spark, path)
+        lines = spark.read.text(path)
     except Exception as e:
         log.warning("no ledger in %s: %s", path, e)
-        text = "{}"
-    one = spark.createDataFrame([(text,)], "text string")
-    entries = F.from_json(F.get_json_object("text", "$.pending_batches"), LEDGER_ENTRY)
-    rows = one.select(F.explode(F.coalesce(entries, F.array().cast(LEDGER_ENTRY))).alias("e")).select("e.*")
+        rows = spark.createDataFrame([], LEDGER_ENTRY.removeprefix("array<").removesuffix(">"))
+        return rows if kind is None else rows.where(F.col("kind") == kind)
+    sound = F.json_object_keys("value").isNotNull() & F.col("value").rlike("\\}\\s*$")
+    first = lines.where(F.trim("value") != "").select(sound).first()
+    texts = lines.where(F.trim("value") != "") if first and first[0] else spark.read.text(path, wholetext=True)
+    entries = F.from_json("value", f"pending_batches {LEDGER_ENTRY}")["pending_batches"]
+    rows = texts.select(F.explode(entries).alias("e")).select("e.*")
     return rows if kind is None else rows.where(F.col("kind") == kind)
 
 

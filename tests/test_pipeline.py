@@ -74,6 +74,15 @@ def test_state(spark, tmp_path):
     assert states.load_state(spark, str(tmp_path / "odd.json")) is None
 
 
+def test_ledger_in_parts(spark, tmp_path):
+    """A line is an object of its own, so no task needs more than a line; all lines of all files count."""
+    line = lambda k: json.dumps({"pending_batches": [{"kind": "extraction", "batch_id": f"b{k}", "article_ids": [f"}}{k}\n"], "estimated_tokens": k}]})
+    for part in range(3):
+        (tmp_path / f"part-{part}").write_text("\n".join([*map(line, range(part * 10, part * 10 + 10)), "", '{"metrics": {}}\n']))
+    got = {(r.batch_id, r.article_ids[0], r.estimated_tokens) for r in states.read_ledger(spark, str(tmp_path), "extraction").collect()}
+    assert got == {(f"b{k}", f"}}{k}\n", k) for k in range(30)}
+
+
 def test_series_and_chart(spark, tmp_path):
     rec = lambda n: {"article_id": "a", "title": "t", "post": "p", "data": {"pilgrim_count": n, "other_metrics": {}}}
     (tmp_path / "s.json").write_text(json.dumps({"2100-02-31": rec(1), "2024-1-5": rec(3.7), "x": rec(1), "2024-01-06": rec("64,801"), "2024-01-07": rec(9)}))
