@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,20 +35,25 @@ def read_ledger(spark: SparkSession, path: str, kind: str | None = None) -> Data
     """Pending batches of a state: kind, batch_id, article_ids, estimated_tokens.
 
     A state is a JSON object over the lines of a file, which is then read whole, or any number of objects
-    of one line each, over any number of files, each with some of the batches.  There are none
-    if there are none to read.
+    of one line each, over any number of files, each with some of the batches.  Only a path that does not
+    exist has no ledger, which is logged; what cannot be read or parsed is an error, here or when rows are read.
     """
     try:
         lines = spark.read.text(path)
-    except Exception as e:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         log.warning("no ledger in %s: %s", path, e)
         rows = spark.createDataFrame([], LEDGER_ENTRY.removeprefix("array<").removesuffix(">"))
         return rows if kind is None else rows.where(F.col("kind") == kind)
     sound = F.json_object_keys("value").isNotNull() & F.col("value").rlike("\\}\\s*$")
     first = lines.where(F.trim("value") != "").select(sound).first()
-    texts = lines.where(F.trim("value") != "") if first and first[0] else spark.read.text(path, wholetext=True)
-    entries = F.from_json("value", f"pending_batches {LEDGER_ENTRY}")["pending_batches"]
-    rows = texts.select(F.explode(entries).alias("e")).select("e.*")
+    if first is None:
+        raise ValueError(f"{path} has no state")
+    texts = lines.where(F.trim("value") != "") if first[0] else spark.read.text(path, wholetext=True)
+    broken = F.raise_error(F.concat(F.lit("no JSON object in "), "_metadata.file_path")).cast(LEDGER_ENTRY)
+    entries = F.from_json("value", f"pending_batches {LEDGER_ENTRY}", {"mode": "FAILFAST"})["pending_batches"]
+    rows = texts.select(F.explode(F.when(sound, entries).otherwise(broken)).alias("e")).select("e.*")
     return rows if kind is None else rows.where(F.col("kind") == kind)
 
 

@@ -83,6 +83,20 @@ def test_ledger_in_parts(spark, tmp_path):
     assert got == {(f"b{k}", f"}}{k}\n", k) for k in range(30)}
 
 
+@pytest.mark.parametrize("bad", ["", "[]", '{"pending_batches": [', '{"pending_batches": []}\n{"pending_batches": [{"kind"', '{"pending_batches": [{"article_ids": 5}]}', '{\n"pending_batches": [\n'])
+def test_a_ledger_that_cannot_be_read_is_no_empty_ledger(spark, tmp_path, bad):
+    (tmp_path / "state.json").write_text(bad)
+    with pytest.raises(Exception):
+        states.read_ledger(spark, str(tmp_path / "state.json")).collect()
+    with pytest.raises(Exception):
+        states.read_ledger(spark, str(tmp_path / "state.json"), "extraction").count()
+
+
+def test_other_failures_of_reading_a_ledger_are_errors(spark):
+    with pytest.raises(Exception):
+        states.read_ledger(spark, "nosuchscheme://host/state.json").count()
+
+
 def test_series_and_chart(spark, tmp_path):
     rec = lambda n: {"article_id": "a", "title": "t", "post": "p", "data": {"pilgrim_count": n, "other_metrics": {}}}
     (tmp_path / "s.json").write_text(json.dumps({"2100-02-31": rec(1), "2024-1-5": rec(3.7), "x": rec(1), "2024-01-06": rec("64,801"), "2024-01-07": rec(9)}))
