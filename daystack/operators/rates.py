@@ -18,16 +18,25 @@ def _micros(ts: str):
 
 
 def sliding_sum(rows: DataFrame, ts: str, tokens: str, window_seconds: int, name: str = "current") -> DataFrame:
-    """``rows`` with the sum of ``tokens`` over the window up to each row's time; a row exactly as old as the window is out.
+    """``rows`` with the sum of ``tokens`` (whole numbers) over the window up to each row's time; a row exactly as old as the window is out.
 
-    Each row also goes, as a ghost, to the next stretch of one window's length, which is all that looks back at it.
+    A window's sum is what has come less what has left, so each time costs the same however many rows
+    its window holds.  Rows combine by time where they are read.  A time's sum enters its stretch of one window's
+    length; the next stretch has it from the start, and takes it away once it is as old as the window.
     """
     w = window_seconds * 1_000_000
     at = rows.withColumn("_us", _micros(ts))
-    stretch = F.floor(F.col("_us") / w)
-    both = at.select("*", F.explode(F.array(F.struct(stretch.alias("s"), F.lit(False).alias("ghost")), F.struct((stretch + 1).alias("s"), F.lit(True).alias("ghost")))).alias("_p"))
-    span = Window.partitionBy("_p.s").orderBy("_us").rangeBetween(-(w - 1), 0)
-    return both.withColumn(name, F.sum(tokens).over(span)).where(~F.col("_p.ghost")).drop("_us", "_p")
+    n, k = F.col("_n"), F.col("_k")
+    times = at.groupBy("_us").agg(F.sum(tokens).alias("_n"), F.count(tokens).alias("_k"))
+    times = times.withColumn("_n", F.coalesce("_n", F.lit(0))).withColumn("_s", F.col("_us") - F.pmod("_us", F.lit(w)))
+    step = lambda s, us, sign, own: F.struct(s.alias("s"), us.alias("us"), (n * sign).alias("n"), (k * sign).alias("k"), F.lit(own).alias("own"))
+    s, us = F.col("_s"), F.col("_us")
+    steps = F.array(step(s, us, 1, True), step(s + w, s + w, 1, False), step(s + w, us + w, -1, False))
+    each = times.select(F.explode(F.when(us.isNull(), F.slice(steps, 1, 1)).otherwise(steps)).alias("e")).select("e.*")
+    each = each.groupBy("s", "us").agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.max("own").alias("own"))
+    so_far = Window.partitionBy("s").orderBy("us").rowsBetween(Window.unboundedPreceding, 0)
+    sums = each.select(F.col("us").alias("_at"), "own", F.when(F.sum("k").over(so_far) > 0, F.sum("n").over(so_far)).alias(name)).where("own").drop("own")
+    return at.join(sums, F.col("_us").eqNullSafe(F.col("_at")), "left").drop("_us", "_at")
 
 
 def admission(rows: DataFrame, tokens: str, limit: int, pace: float, current: str = "current") -> DataFrame:

@@ -133,6 +133,16 @@ def test_sliding_sum_equals_a_loop(spark):
     assert got == {k: sum(n for _, b, n in data if a - timedelta(seconds=300) < b <= a) for k, a, _ in data}
 
 
+def test_sliding_sum_takes_no_step_for_each_row_of_a_window(spark):
+    """Rows of one time, without a time and without tokens; the sums' frames start at the stretch and never slide."""
+    t = datetime(2024, 1, 1)
+    data = [(k, t + timedelta(seconds=k % 7), 1) for k in range(2000)] + [(2000, None, 5), (2001, None, 6), (2002, t + timedelta(hours=1), None)]
+    got = rates.sliding_sum(spark.createDataFrame(data, "k long, ts timestamp, n long"), "ts", "n", 3)
+    assert "RangeFrame" not in got._jdf.queryExecution().optimizedPlan().toString()
+    want = {k: sum(n for _, b, n in data if b == a or a and b and a - timedelta(seconds=3) < b <= a) if n else None for k, a, n in data}
+    assert {r.k: r.current for r in got.collect()} == want
+
+
 def test_running_balance_equals_a_loop(spark):
     rng, t, balance, want = random.Random(5), datetime(2024, 1, 1), 0, []
     data = [(k, t + timedelta(minutes=30 * k), rng.randint(-20, 20)) for k in range(600)]
