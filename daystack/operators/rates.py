@@ -1,7 +1,7 @@
 """Rates over time: sliding windows, admission, running balances.
 
 Windows over all rows in time order would put them in one task.  Here rows are dealt by stretches of
-time; what a stretch needs of others is a copy of the rows just before it, or one number.
+time; what a stretch needs of others is the sums of the times just before it, or one number.
 """
 
 from __future__ import annotations
